@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = "_bucket"
-CARRIED = "_carried"
+# Stateful processors lose names that start with an underscore.
+BUCKET = "bucket_"
+CARRIED = "carried_"
 BUCKET_MS = 60_000
 DENSE_ROWS = 5_000_000
 

@@ -9,6 +9,10 @@ from frostline.functions import event_timestamp, float32_millis, whole_millis
 # "NaN" and the like are not numbers in JSON.
 _STRICT_NUMBERS = {"allowNonNumericNumbers": "false"}
 
+# The year 2262, to which pandas timestamps reach. One reading from beyond it
+# would also push the watermark past all others.
+MAX_TIME_MS = 9_223_372_036_854
+
 
 def parse(messages: DataFrame, value: str = "value", keep: tuple[str, ...] = ("seq",)) -> DataFrame:
     """Decode the ``value`` column; adds one column per message key.
@@ -40,7 +44,8 @@ def _is_bad() -> Column:
         S.JSON_SENSOR_NAME_2,
         S.JSON_SENSOR_VALUE_2,
     ]
-    bad = _malformed() | whole_millis(_field(S.JSON_TIME)).isNull()
+    time_ms = whole_millis(_field(S.JSON_TIME))
+    bad = _malformed() | time_ms.isNull() | ~time_ms.between(-MAX_TIME_MS, MAX_TIME_MS)
     for key in required:
         bad = bad | _field(key).isNull()
     return bad
