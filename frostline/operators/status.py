@@ -61,18 +61,23 @@ def fold_status(changes: DataFrame) -> DataFrame:
 
 
 def compact_changes(changes: DataFrame) -> DataFrame:
-    """The fewest changes that fold to the same status: one per column set."""
+    """The fewest changes that fold to the same status: one per column set.
+
+    A device of which nothing is known yet keeps one change that sets nothing.
+    """
     folded = latest_changes(changes)
+    unknown = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in FLAGS])
     one = [
         F.struct(
             *[(F.col(c)["v"] if c == kept else F.lit(None)).alias(c) for c in FLAGS],
             F.col(kept)["at"]["time_ms"].alias("time_ms"),
             F.col(kept)["at"]["seq"].alias("seq"),
+            (F.col(kept).isNotNull() | (unknown if kept == FLAGS[0] else F.lit(False))).alias("set"),
         )
         for kept in FLAGS
     ]
     spread = folded.select("device_id", F.inline(F.array(*one)))
-    return as_changes(spread.where(F.col("time_ms").isNotNull()))
+    return as_changes(spread.where("set"))
 
 
 def status_changes(readings: DataFrame, dense_ms: int | None = None) -> DataFrame:

@@ -74,7 +74,7 @@ def recent_values(readings: DataFrame, column: str, length: int = SPARKLINE_LENG
     )
     oldest = Window.partitionBy("device_id").orderBy(F.desc("age"))
     return recent.select(
-        "device_id", F.row_number().over(oldest).alias("pos"), "time_ms", "value"
+        "device_id", F.row_number().over(oldest).cast("bigint").alias("pos"), "time_ms", "value"
     )
 
 

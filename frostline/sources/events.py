@@ -5,7 +5,7 @@ shrunk 10,000-fold so that bounds of seconds apply, and values are mapped into
 the ranges of the sensors.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frostline.schema import READING_COLUMNS
@@ -22,8 +22,11 @@ def events_path(sf_dir: str) -> str:
     return f"{sf_dir.rstrip('/')}/events.parquet"
 
 
-def as_readings(events: DataFrame) -> DataFrame:
-    """Batch or stream of events to readings. Only projects, never shuffles."""
+def as_readings(events: DataFrame, **extra: Column) -> DataFrame:
+    """Batch or stream of events to readings. Only projects, never shuffles.
+
+    ``extra`` names further columns, made from those of ``events``.
+    """
     micros = F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(EPOCH_MS * 1000)
     cents = F.round(F.col("value") * 100).cast("bigint")
     k = F.get_json_object("props", "$.k").cast("bigint")
@@ -33,15 +36,16 @@ def as_readings(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("seq"),
         ((cents % 3000) / F.lit(100.0) - F.lit(20.0)).alias("temp"),
         ((k * 4 + 200) / F.lit(3600.0)).alias("kw"),
+        *[column.alias(name) for name, column in extra.items()],
     )
     return (
         shrunk.withColumn("time_ms", F.col("since") + F.lit(EPOCH_MS))
         .withColumn("ts", F.timestamp_millis("time_ms"))
         .withColumn("sensor_name_1", F.lit(SENSOR_1))
         .withColumn("sensor_name_2", F.lit(SENSOR_2))
-        .select(*READING_COLUMNS)
+        .select(*READING_COLUMNS, *extra)
     )
 
 
-def read_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_readings(use_utc(spark).read.parquet(events_path(sf_dir)))
+def read_readings(spark: SparkSession, sf_dir: str, **extra: Column) -> DataFrame:
+    return as_readings(use_utc(spark).read.parquet(events_path(sf_dir)), **extra)

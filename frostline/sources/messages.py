@@ -101,8 +101,8 @@ def quarantine(messages: DataFrame, value: str = "value", seq: str = "seq") -> D
     )
 
 
-def encode(readings: DataFrame) -> DataFrame:
-    """Readings back to messages: ``value`` (JSON text) and ``seq``."""
+def encode(readings: DataFrame, *keep: str) -> DataFrame:
+    """Readings back to messages: ``value`` (JSON text), ``seq`` and columns to keep."""
     body = F.struct(
         F.col("time_ms").cast("double").alias(S.JSON_TIME),
         F.col("device_id").alias(S.JSON_DEVICE_ID),
@@ -111,4 +111,4 @@ def encode(readings: DataFrame) -> DataFrame:
         F.col("sensor_name_2").alias(S.JSON_SENSOR_NAME_2),
         F.col("kw").alias(S.JSON_SENSOR_VALUE_2),
     )
-    return readings.select(F.to_json(body).alias("value"), "seq")
+    return readings.select(F.to_json(body).alias("value"), "seq", *keep)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from frostline.schema import READING_SCHEMA
 from frostline.session import scratch_dir, stream_session
 from frostline.sources.events import as_readings, events_path
+from frostline.sources.messages import encode
 from frostline.sources.replay import replay_stream
-from frostline.streaming.run import append_files
+from frostline.streaming.run import append_files, run_streams
 
 # A reading so late in time that the watermark it sets closes everything else.
 END_DEVICE = "end of stream"
@@ -53,3 +54,13 @@ def run_over_events(
     query.awaitTermination()
     written = spark.read.schema(out.schema).parquet(f"{folder}/out")
     return written.where(F.col("device_id") != END_DEVICE)
+
+
+def run_all_over_events(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Every query of :func:`run_streams` over ``events``; returns their folder."""
+    session = stream_session(spark)
+    folder = scratch_dir(spark, name)
+    messages = encode(events_stream(session, sf_dir, folder))
+    for query in run_streams(session, lambda _: messages, folder, available_now=True):
+        query.awaitTermination()
+    return folder

@@ -65,7 +65,7 @@ def run_streams(
     readings = decode(source)
     history = timeline_stream(observe_latency(readings))
     queries = [
-        append_files(history, root, TIMELINE, available_now, retention=f"{ttl_seconds} seconds"),
+        append_files(history, root, TIMELINE, available_now, retention=f"{ttl_seconds}s"),
         append_files(quarantine(source), root, QUARANTINE, available_now),
     ]
     for name, feed in status_feeds(readings, delay).items():
