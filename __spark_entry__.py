@@ -328,6 +328,10 @@ _TIMELINE_VIEW = (
     'SELECT device_id AS "deviceID", {time} AS time_stamp, sensor_name_1 AS "sensorName1",'
     ' temp AS "sensorValue1", sensor_name_2 AS "sensorName2", kw AS "sensorValue2" FROM latest'
 )
+# A value half way between two roundings goes away from zero, as it does in the
+# gauge; printf alone would take the even one, so move it off the half way mark.
+_AWAY_FROM_ZERO = """CASE WHEN efficiency = 0 THEN efficiency
+    ELSE nextafter(efficiency, sign(efficiency) * 'infinity'::double) END"""
 _ALL_STATUS = (_READINGS, _PAIRS, _WINDOWS, _DELTA, _STATUS)
 
 
@@ -430,8 +434,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "efficiency_gauge": _with(
             _ALL_STATUS,
-            """SELECT device_id, CASE WHEN efficiency IS NOT NULL
-                        THEN cast(printf('%.3e', efficiency) AS double) END AS shown,
+            f"""SELECT device_id, CASE WHEN efficiency IS NOT NULL
+                        THEN cast(printf('%.3e', {_AWAY_FROM_ZERO}) AS double) END AS shown,
                       'Δ°F/kw' AS unit,
                       CASE WHEN efficiency IS NOT NULL
                         THEN least(greatest(efficiency, 0.0::double), 5.0::double) END AS gauge_position

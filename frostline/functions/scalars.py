@@ -37,7 +37,7 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
 
 
 def significant_digits(value: Column, digits: int = 4) -> Column:
-    """round to a number of significant digits."""
+    """round to a number of significant digits, halves away from zero."""
     return F.format_string(f"%.{digits - 1}e", value).cast("double")
 
 
