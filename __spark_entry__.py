@@ -35,6 +35,12 @@ from frostline.sources.tables import (
 from frostline.streaming import bounded, feeds
 from frostline.streaming.efficiency import efficiency_rolling_stream
 
+try:  # the training-data package may be left out
+    import corpus_pipeline
+    from frostline.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 ONE_DEVICE = "device7"
 RETAINED_AS_OF = "2024-01-30 00:00:00"
@@ -201,6 +207,23 @@ def _stream_status(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _sensor_queries() | _llm_queries()
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm_queries is None:
+        return {}
+    return llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def _llm_oracle_sql() -> dict[str, str]:
+    if llm_queries is None:
+        return {}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return llm_queries.ORACLE_SQL | pipeline
+
+
+def _sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "readings": _readings,
         "decode_json": _decode_json,
@@ -354,6 +377,10 @@ def _sparkline_sql(column: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _sensor_oracle_sql() | _llm_oracle_sql()
+
+
+def _sensor_oracle_sql() -> dict[str, str]:
     plain = _with((_READINGS,), f"SELECT {_READING_COLUMNS} FROM readings")
     defrost = _with(
         (_READINGS,), "SELECT device_id, true AS defrosted, time_ms, seq FROM readings WHERE temp >= 0"
