@@ -95,12 +95,13 @@ def ngram_counts(documents: DataFrame, trusted: DataFrame, *, id_col: str, text_
     """Per bucket, the n-grams of all documents and those of the trusted ones.
 
     Each task sums its own documents first; the shuffle carries one row for each
-    of its buckets at most.
+    of its buckets at most. The texts are shuffled once to meet the trusted ids,
+    whose number grows with the corpus, so they are never broadcast.
     """
     size = 1 << BUCKET_BITS
     marked = trusted.select(F.col(id_col).alias("trusted_id")).distinct()
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    joined = rows.join(marked, rows["id"] == marked["trusted_id"], "left")
+    joined = rows.join(marked.hint("shuffle_hash"), rows["id"] == marked["trusted_id"], "left")
     joined = joined.select("text", F.col("trusted_id").isNotNull().alias("trusted"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
