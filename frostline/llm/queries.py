@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from frostline.llm import (
     html_text,
     mixing,
+    nn_descent,
     packing,
     quality_classifier,
     quality_rules,
@@ -50,6 +51,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1,
     "op2_simhash": op2,
     "op3_html_text": op3,
+    "op4_nn_descent": op4,
     "op5_packing": op5,
     "op6_sharding": op6,
     "op7_mixing": op7,
