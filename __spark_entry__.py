@@ -44,7 +44,7 @@ except ImportError:
 SMOKE_DIR = "/root/testdata/sf0.001"
 ONE_DEVICE = "device7"
 RETAINED_AS_OF = "2024-01-30 00:00:00"
-STATUS_PAGES = 16
+STATUS_PAGE_ROWS = 1000
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -155,7 +155,7 @@ def _status_json(spark, sf_dir):
 
 
 def _status_pages(spark, sf_dir):
-    pages = views.json_pages(views.all_status(_status(spark, sf_dir)), "status", STATUS_PAGES)
+    pages = views.json_pages(views.all_status(_status(spark, sf_dir)), "status", STATUS_PAGE_ROWS)
     listed = pages.select(F.from_json("json", f"status array<struct<{STATUS_JSON}>>").alias("p"))
     return listed.select(F.inline("p.status"))
 
@@ -167,7 +167,7 @@ def _timeline_json(spark, sf_dir):
 
 def _latest_payload(spark, sf_dir):
     reading = views.latest_reading(read_readings(spark, sf_dir), ONE_DEVICE)
-    page = views.json_pages(reading, "timeline", 1)
+    page = views.json_pages(reading, "timeline", STATUS_PAGE_ROWS)
     listed = page.select(F.from_json("json", f"timeline array<struct<{TIMELINE_JSON}>>").alias("p"))
     return listed.select(F.inline("p.timeline"))
 
@@ -243,6 +243,7 @@ def _sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "efficiency_delta": lambda s, d: efficiency_delta(_windows(s, d)),
         "efficiency_rolling": lambda s, d: efficiency_rolling(_windows(s, d)),
         "status_table": _status,
+        "status_rolling": lambda s, d: status_table(read_readings(s, d), efficiency="rolling"),
         "status_stored": _status_stored,
         "timeline_table": _timeline,
         "timeline_stored": _timeline_stored,
@@ -302,7 +303,7 @@ pairs AS (
 
 _WINDOWS = """windows AS (
   SELECT device_id, start_ms + 30000 AS window_end_ms,
-         arg_min(temp, (time_ms, seq)) AS temp, sum(kw::decimal(18,9))::double AS work
+         arg_min(temp, (time_ms, seq)) AS temp, sum(kw::decimal(38,12))::double AS work
   FROM (SELECT device_id, time_ms, seq, temp, kw,
                unnest(range(time_ms - time_ms % 1000 - 29000, time_ms + 1, 1000)) AS start_ms
         FROM readings)
@@ -344,6 +345,8 @@ rolling AS (
   SELECT w.device_id, w.window_end_ms, w.n, (r.acc - w.temp) / nullif(w.work, 0)
   FROM rolling r JOIN numbered w ON w.device_id = r.device_id AND w.n = r.n + 1)"""
 
+_ROLLING_AS_DELTA = "delta AS (SELECT device_id, window_end_ms, 100 * acc AS efficiency FROM rolling)"
+
 _READING_COLUMNS = "device_id, time_ms, seq, sensor_name_1, temp, sensor_name_2, kw"
 _STATUS_VIEW = 'SELECT device_id AS "deviceID", door_open AS "door-open", defrosted, efficiency FROM status'
 _HTTP_DATE = "strftime(make_timestamp(time_ms * 1000), '%a, %d %b %Y %H:%M:%S GMT')"
@@ -351,10 +354,11 @@ _TIMELINE_VIEW = (
     'SELECT device_id AS "deviceID", {time} AS time_stamp, sensor_name_1 AS "sensorName1",'
     ' temp AS "sensorValue1", sensor_name_2 AS "sensorName2", kw AS "sensorValue2" FROM latest'
 )
-# A value half way between two roundings goes away from zero, as it does in the
-# gauge; printf alone would take the even one, so move it off the half way mark.
-_AWAY_FROM_ZERO = """CASE WHEN efficiency = 0 THEN efficiency
-    ELSE nextafter(efficiency, sign(efficiency) * 'infinity'::double) END"""
+# A value exactly half way between two roundings goes away from zero, as it does
+# in the gauge. printf alone would take the even one, so move just these values,
+# whose digits after the fourth are a five and zeros, off the half way mark.
+_AWAY_FROM_ZERO = """CASE WHEN regexp_full_match(printf('%.60e', abs(efficiency)), '[0-9][.][0-9]{3}50*e.*')
+    THEN nextafter(efficiency, sign(efficiency) * 'infinity'::double) ELSE efficiency END"""
 _ALL_STATUS = (_READINGS, _PAIRS, _WINDOWS, _DELTA, _STATUS)
 
 
@@ -428,6 +432,9 @@ def _sensor_oracle_sql() -> dict[str, str]:
         "efficiency_delta": delta,
         "efficiency_rolling": rolling,
         "status_table": status,
+        "status_rolling": _with(
+            (_READINGS, _PAIRS, _WINDOWS, _ROLLING, _ROLLING_AS_DELTA, _STATUS), "SELECT * FROM status", recursive=True
+        ),
         "status_stored": status,
         "timeline_table": timeline,
         "timeline_stored": timeline,

@@ -1,10 +1,16 @@
-"""Column-to-column functions (F2, F3, F6, F10-F16). All stay in the JVM."""
+"""Column-to-column functions (F2, F3, F6, F10-F16). All but F14 stay in the JVM."""
 
+from decimal import ROUND_HALF_UP, Decimal, localcontext
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from frostline.schema import HTTP_DATE_FORMAT
 
+# The largest double that is also a 64-bit whole number.
+LARGEST_LONG = float(2**63 - 1024)
+
 
 def whole_millis(time: Column) -> Column:
     """epoch milliseconds without their fraction, NULL when out of range."""
@@ -27,8 +33,11 @@ def strip_quotes(text: Column) -> Column:
 
 
 def truncated(value: Column) -> Column:
-    """the whole part, cut toward zero, as temperatures are compared."""
-    return value.cast("bigint")
+    """the whole part, cut toward zero, as temperatures are compared.
+
+    Values beyond a 64-bit number count as the nearest one, and never fail.
+    """
+    return clamp(value, -LARGEST_LONG, LARGEST_LONG).cast("bigint")
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:
@@ -37,8 +46,26 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
 
 
 def significant_digits(value: Column, digits: int = 4) -> Column:
-    """round to a number of significant digits, halves away from zero."""
-    return F.format_string(f"%.{digits - 1}e", value).cast("double")
+    """round the exact value to significant digits, halves away from zero.
+
+    The JVM's own formatting rounds the shortest decimal text of a double, which
+    is another number just below or above a half.
+    """
+
+    @F.pandas_udf("double")
+    def rounded(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: _rounded(v, digits), na_action="ignore")
+
+    return rounded(value)
+
+
+def _rounded(value: float, digits: int) -> float:
+    exact = Decimal(value)
+    if not exact or not exact.is_finite():
+        return value
+    step = Decimal(1).scaleb(exact.adjusted() - digits + 1)
+    with localcontext(prec=digits + 2):
+        return float(exact.quantize(step, rounding=ROUND_HALF_UP))
 
 
 def first_element(array: Column, field: str) -> Column:

@@ -7,20 +7,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frostline.functions import safe_divide
+from frostline.operators.previous import BUCKET, bucket_of
 from frostline.schema import EFFICIENCY_SCALE
 
+WINDOWS_BUCKET_MS = 600_000
 EFFICIENCY_SCHEMA = "device_id string, window_end_ms bigint, efficiency double"
 
 
-def efficiency_delta(windows: DataFrame) -> DataFrame:
+def efficiency_delta(windows: DataFrame, bucket_ms: int = WINDOWS_BUCKET_MS) -> DataFrame:
     """A4: drop in temperature since the window before, per unit of work.
 
-    A device has at most one window per slide, whatever its rate of readings,
-    so the window over device is bounded by its time span.
+    Windows are put in order within a bucket of time. Before the first one of a
+    bucket comes the last one of the device's bucket before, so what is ordered
+    by device alone is one row for each of its buckets.
     """
-    before = F.lag("temp").over(Window.partitionBy("device_id").orderBy("window_end_ms"))
+    placed = windows.withColumn(BUCKET, bucket_of(F.col("window_end_ms"), bucket_ms))
+    keys = ["device_id", BUCKET]
+    lasts = placed.groupBy(*keys).agg(F.max(F.struct("window_end_ms", "temp")).alias("last"))
+    by_bucket = Window.partitionBy("device_id").orderBy(BUCKET)
+    carried = lasts.select(*keys, F.lag("last.temp").over(by_bucket).alias("carried"))
+    inside = Window.partitionBy(*keys).orderBy("window_end_ms")
+    linked = placed.select(
+        *keys,
+        "window_end_ms",
+        "temp",
+        "work",
+        F.row_number().over(inside).alias("nth"),
+        F.lag("temp").over(inside).alias("before"),
+    ).join(carried, keys)
+    before = F.when(F.col("nth") == 1, F.col("carried")).otherwise(F.col("before"))
     delta = safe_divide(before - F.col("temp"), F.col("work")) * F.lit(EFFICIENCY_SCALE)
-    return windows.select("device_id", "window_end_ms", delta.alias("efficiency"))
+    return linked.select("device_id", "window_end_ms", delta.alias("efficiency"))
 
 
 def fold_step(acc: float | None, temp: float, work: float) -> float | None:
@@ -59,8 +76,10 @@ def efficiency_rolling(windows: DataFrame) -> DataFrame:
     Each step needs the exact result of the one before, so a device is folded
     in order. Its windows stream through in Arrow batches; only one number is
     held. Numerically unstable by nature: prefer :func:`efficiency_delta`.
+
+    Windows are first brought together by device and then sorted, which the
+    grouping keeps; sorted before an exchange, they would lose their order.
     """
-    ordered = windows.select("device_id", "window_end_ms", "temp", "work").sortWithinPartitions(
-        "device_id", "window_end_ms"
-    )
+    together = windows.select("device_id", "window_end_ms", "temp", "work").repartition("device_id")
+    ordered = together.sortWithinPartitions("device_id", "window_end_ms")
     return ordered.groupBy("device_id").applyInArrow(_fold_batches, EFFICIENCY_SCHEMA)

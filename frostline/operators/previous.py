@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 BUCKET = "bucket_"
 CARRIED = "carried_"
 BUCKET_MS = 60_000
-DENSE_ROWS = 5_000_000
 
 
 def bucket_of(time: Column, width_ms: int) -> Column:
@@ -54,8 +53,7 @@ def with_previous(
     They are NULL unless that row lies less than ``within_ms`` earlier. ``time``
     is always among the columns added.
 
-    ``dense_ms`` is for devices whose single bucket outgrows a task (see
-    :func:`rows_in_fullest_bucket`). It cuts finer, down to a millisecond, and
+    ``dense_ms`` is for devices whose single bucket outgrows a task. It cuts finer, down to a millisecond, and
     carries only the last row of each fine bucket, which is found first by an
     aggregate that combines on the map side.
     """
@@ -92,32 +90,3 @@ def _placed_dense(df, columns, within_ms, key, time, tie, bucket_ms, dense_ms) -
         F.lit(True).alias(CARRIED),
     )
     return own.withColumn(CARRIED, F.lit(False)).unionByName(carried, allowMissingColumns=True)
-
-
-def rows_in_fullest_bucket(
-    df: DataFrame,
-    key: Sequence[str] = ("device_id",),
-    time: str = "time_ms",
-    bucket_ms: int = BUCKET_MS,
-) -> int:
-    """Runs a job: most rows any key has in one bucket. Reads two columns."""
-    counts = df.groupBy(*key, bucket_of(F.col(time), bucket_ms).alias(BUCKET)).count()
-    return counts.agg(F.max("count")).first()[0] or 0
-
-
-def choose_dense_ms(
-    df: DataFrame,
-    bucket_ms: int = BUCKET_MS,
-    limit: int = DENSE_ROWS,
-    key: Sequence[str] = ("device_id",),
-    time: str = "time_ms",
-) -> int | None:
-    """Runs a job: the ``dense_ms`` for :func:`with_previous`, or None.
-
-    The fine bucket is as narrow as would bring evenly spread rows of the
-    fullest bucket under ``limit``.
-    """
-    fullest = rows_in_fullest_bucket(df, key, time, bucket_ms)
-    if fullest <= limit:
-        return None
-    return max(1, bucket_ms * limit // fullest)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frostline.operators.defrost import defrost_events
-from frostline.operators.efficiency import efficiency_delta
+from frostline.operators.efficiency import efficiency_delta, efficiency_rolling
 from frostline.operators.pattern import door_alerts, rising_pairs
 from frostline.operators.work import work_windows
 from frostline.schema import STATUS_CHANGE_SCHEMA
@@ -80,14 +80,20 @@ def compact_changes(changes: DataFrame) -> DataFrame:
     return as_changes(spread.where("set"))
 
 
-def status_changes(readings: DataFrame, dense_ms: int | None = None) -> DataFrame:
-    """All three feeds of a table of readings (U2). Each scans what it needs."""
+EFFICIENCIES = {"delta": efficiency_delta, "rolling": efficiency_rolling}
+
+
+def status_changes(readings: DataFrame, dense_ms: int | None = None, efficiency: str = "delta") -> DataFrame:
+    """All three feeds of a table of readings (U2). Each scans what it needs.
+
+    ``efficiency`` is ``delta`` (A4) or ``rolling`` (A3).
+    """
     return union_changes(
         door_alerts(rising_pairs(readings, dense_ms=dense_ms)),
         defrost_events(readings),
-        efficiency_changes(efficiency_delta(work_windows(readings))),
+        efficiency_changes(EFFICIENCIES[efficiency](work_windows(readings))),
     )
 
 
-def status_table(readings: DataFrame, dense_ms: int | None = None) -> DataFrame:
-    return fold_status(status_changes(readings, dense_ms))
+def status_table(readings: DataFrame, dense_ms: int | None = None, efficiency: str = "delta") -> DataFrame:
+    return fold_status(status_changes(readings, dense_ms, efficiency))

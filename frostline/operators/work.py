@@ -3,33 +3,43 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from frostline.operators.previous import bucket_of
+from frostline.operators.previous import BUCKET, bucket_of
 from frostline.schema import SLIDE_MS, WINDOW_MS
 
-# Fixed value: energy is summed in this type, so that order cannot matter.
-KW_TYPE = "decimal(18,9)"
+# Fixed value: energy is summed in this type, so that order cannot matter. It
+# holds steps of 1e-12 and sums up to 1e26; ``decode`` admits values up to 1e12.
+KW_TYPE = "decimal(38,12)"
+
+# Ends of windows are cut into buckets of this many slides.
+BUCKET_SLIDES = 600
 
 WINDOW_COLUMNS = ["device_id", "window_end_ms", "temp", "work"]
 
 
-def work_windows(readings: DataFrame, window_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS) -> DataFrame:
+def work_windows(
+    readings: DataFrame,
+    window_ms: int = WINDOW_MS,
+    slide_ms: int = SLIDE_MS,
+    bucket_slides: int = BUCKET_SLIDES,
+) -> DataFrame:
     """Windows [end - window, end) that hold a reading, with their energy sum.
 
     ``temp`` is that of the first reading in the window. Readings are first
     folded into panes one slide wide, with a map-side combine, so a hot device
-    shrinks to one row per slide before the shuffle by device. A pane then makes
-    two changes: its energy comes in with the first window that covers it, and
-    goes out after the last. Between changes all windows are alike, so a running
-    sum over the changes gives each stretch, and only results are expanded. The
-    sum is exact because it is decimal.
-
-    The result is partitioned by device, which saves later steps by device a
-    shuffle.
+    shrinks to one row per slide before the shuffle. A pane then makes two
+    changes: its energy comes in with the first window that covers it, and goes
+    out after the last. Between changes all windows are alike, so a running sum
+    over the changes gives each stretch, and only results are expanded. The sum
+    is exact because it is decimal.
+
+    The ends of windows are cut into buckets of time, and a pane goes to each
+    bucket that it reaches. So a task holds one device's panes of a bucket and
+    of one window before it, however long the device's history is.
     """
     if window_ms % slide_ms:
         return work_windows_expanded(readings, window_ms, slide_ms).select(*WINDOW_COLUMNS)
-    changes = _pane_changes(_panes(readings, slide_ms), window_ms // slide_ms)
-    by_device = Window.partitionBy("device_id").orderBy("at")
+    changes = _pane_changes(_panes(readings, slide_ms), window_ms // slide_ms, bucket_slides)
+    by_device = Window.partitionBy("device_id", BUCKET).orderBy("at")
     so_far = by_device.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     stretches = changes.select(
         "device_id",
@@ -60,30 +70,37 @@ def _panes(readings: DataFrame, slide_ms: int) -> DataFrame:
     )
 
 
-def _pane_changes(panes: DataFrame, reach: int) -> DataFrame:
-    """What changes at which window end, counted in slides.
+def _pane_changes(panes: DataFrame, reach: int, bucket_slides: int) -> DataFrame:
+    """What changes at which window end of a bucket, counted in slides.
 
     ``first`` is set where the first pane of the window changes: at the first
-    pane of a device, and whenever a pane leaves and the next one takes over.
+    pane of a bucket, and whenever a pane leaves and the next one takes over.
+    What began before the bucket comes with its start, and what ends after it
+    goes with its end.
     """
-    by_device = Window.partitionBy("device_id").orderBy("pane")
-    linked = panes.select(
+    opens, closes = F.col("pane") + 1, F.col("pane") + 1 + reach
+    buckets = F.sequence(bucket_of(opens, bucket_slides), bucket_of(closes - 1, bucket_slides))
+    placed = panes.withColumn(BUCKET, F.explode(buckets))
+    by_device = Window.partitionBy("device_id", BUCKET).orderBy("pane")
+    linked = placed.select(
         "device_id",
+        BUCKET,
         "pane",
         "kw",
         F.when(F.lag("pane").over(by_device).isNull(), F.col("first")).alias("opening"),
         F.lead("first").over(by_device).alias("next"),
     )
+    start = F.col(BUCKET) * bucket_slides
     comes = F.struct(
-        (F.col("pane") + 1).alias("at"), "kw", F.lit(1).alias("panes"), F.col("opening").alias("first")
+        F.greatest(opens, start).alias("at"), "kw", F.lit(1).alias("panes"), F.col("opening").alias("first")
     )
     goes = F.struct(
-        (F.col("pane") + 1 + reach).alias("at"),
+        F.least(closes, start + bucket_slides).alias("at"),
         (-F.col("kw")).alias("kw"),
         F.lit(-1).alias("panes"),
         F.col("next").alias("first"),
     )
-    return linked.select("device_id", F.inline(F.array(comes, goes)))
+    return linked.select("device_id", BUCKET, F.inline(F.array(comes, goes)))
 
 
 def work_windows_expanded(

@@ -74,16 +74,23 @@ def json_elements(rows: DataFrame) -> DataFrame:
     return rows.select("deviceID", to_json_text(_json_object(rows)).alias("json"))
 
 
-def json_pages(rows: DataFrame, name: str, pages: int) -> DataFrame:
+def json_pages(rows: DataFrame, name: str, page_rows: int) -> DataFrame:
     """V4: payloads ``{name: [...]}``, one per page of devices, sorted by id.
 
-    One page is the API's own answer. Its array is one value in one task, so
-    choose ``pages`` by the number of devices; a device's page does not change.
+    A page is a range of ids with at most ``page_rows`` rows, so its array stays
+    that small for any number of devices. Pages are numbered in the order of ids,
+    with gaps. The API's own answer is one page of all rows.
     """
-    page = F.pmod(F.xxhash64("deviceID"), F.lit(pages))
+    ordered = rows.repartitionByRange("deviceID").sortWithinPartitions("deviceID")
+    # The partition's number, and below it the row's place within.
+    place = F.monotonically_increasing_id()
+    in_range = place.bitwiseAND((1 << 33) - 1)
+    page = F.struct(F.shiftright(place, 33), F.call_function("div", in_range, F.lit(page_rows)))
     listed = F.sort_array(F.collect_list(_json_object(rows)))
     return (
-        rows.groupBy(page.alias("page"))
+        ordered.withColumn("page_", page)
+        .withColumn("page", F.shiftleft(F.col("page_.col1"), 33) + F.col("page_.col2"))
+        .groupBy("page")
         .agg(listed.alias("items"))
         .select("page", to_json_text(F.struct(F.col("items").alias(name))).alias("json"))
     )

@@ -34,12 +34,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def stream_session(spark: SparkSession) -> SparkSession:
     """A session on the same context, set up for stateful streaming.
 
-    The number of shuffle partitions is fixed for the life of a checkpoint. The
-    caller's setting is kept unless it exceeds the cores there are to serve it.
+    The number of shuffle partitions is fixed for the life of a checkpoint, so it
+    is the caller's own setting, whatever the cluster has at the start.
     """
     session = use_utc(spark.newSession())
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = max(2, spark.sparkContext.defaultParallelism)
-    session.conf.set("spark.sql.shuffle.partitions", str(min(wanted, cores)))
+    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     return session

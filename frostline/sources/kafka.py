@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from frostline import schema as S
 
+PARTITION_BITS = 16
+
 
 def kafka_options(
     servers: str = S.BOOTSTRAP_SERVERS,
@@ -33,10 +35,14 @@ def kafka_options(
 def messages_from_records(records: DataFrame) -> DataFrame:
     """Kafka records to ``value`` and ``seq``.
 
-    ``seq`` is the offset followed by the partition number in 12 bits: unique in
-    a topic of up to 4096 partitions, and rising within each partition.
+    ``seq`` is the offset followed by the partition number in 16 bits: unique, and
+    rising within each partition. A partition or an offset that does not fit in
+    ends the job, as a wrong ``seq`` would let an older reading win.
     """
-    seq = F.shiftleft(F.col("offset"), 12).bitwiseOR(F.col("partition").cast("bigint"))
+    fits = (F.col("partition") < 1 << PARTITION_BITS) & (F.col("offset") < 1 << (63 - PARTITION_BITS))
+    numbered = F.shiftleft(F.col("offset"), PARTITION_BITS).bitwiseOR(F.col("partition").cast("bigint"))
+    refusal = F.raise_error(F.lit("partition or offset too large for seq")).cast("bigint")
+    seq = F.when(fits, numbered).otherwise(refusal)
     return records.select(F.col("value").cast("string").alias("value"), seq.alias("seq"))
 
 

@@ -13,6 +13,9 @@ _STRICT_NUMBERS = {"allowNonNumericNumbers": "false"}
 # would also push the watermark past all others.
 MAX_TIME_MS = 9_223_372_036_854
 
+# Up to here, sums of energy are exact; see ``KW_TYPE``.
+MAX_KW = 1e12
+
 
 def parse(messages: DataFrame, value: str = "value", keep: tuple[str, ...] = ("seq",)) -> DataFrame:
     """Decode the ``value`` column; adds one column per message key.
@@ -48,7 +51,9 @@ def _is_bad() -> Column:
     bad = _malformed() | time_ms.isNull() | ~time_ms.between(-MAX_TIME_MS, MAX_TIME_MS)
     for key in required:
         bad = bad | _field(key).isNull()
-    return bad
+    # Too large a number is read as infinite. NaN is greater than any number.
+    temp, kw = F.abs(_field(S.JSON_SENSOR_VALUE_1)), F.abs(_field(S.JSON_SENSOR_VALUE_2))
+    return bad | (temp >= float("inf")) | (kw > MAX_KW)
 
 
 def _time_ms(precision: str) -> Column:

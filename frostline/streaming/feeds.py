@@ -8,20 +8,24 @@ from frostline.operators.pattern import PAIR_COLUMNS, door_alerts, matching, tem
 from frostline.operators.status import as_changes, efficiency_changes
 from frostline.operators.work import work_windows_expanded
 from frostline.schema import PATTERN_WITHIN_MS
-from frostline.streaming.efficiency import efficiency_delta_stream
+from frostline.streaming.efficiency import efficiency_delta_stream, efficiency_rolling_stream
 from frostline.streaming.previous import WATERMARK_DELAY, with_event_time, with_previous_stream
 
 
 def rising_pairs_stream(
-    readings: DataFrame, within_ms: int = PATTERN_WITHIN_MS, delay: str = WATERMARK_DELAY
+    readings: DataFrame,
+    within_ms: int = PATTERN_WITHIN_MS,
+    delay: str = WATERMARK_DELAY,
+    groups: int | None = None,
 ) -> DataFrame:
     """The batch pattern's own condition over the streaming pairing."""
-    paired = with_previous_stream(with_event_time(readings, delay), ["temp", "kw"], within_ms)
+    timed = with_event_time(readings, delay)
+    paired = with_previous_stream(timed, ["temp", "kw"], within_ms, groups=groups)
     return matching(paired, temp_rises()).select(*PAIR_COLUMNS)
 
 
-def door_stream(readings: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    return door_alerts(rising_pairs_stream(readings, delay=delay))
+def door_stream(readings: DataFrame, delay: str = WATERMARK_DELAY, groups: int | None = None) -> DataFrame:
+    return door_alerts(rising_pairs_stream(readings, delay=delay, groups=groups))
 
 
 def windows_stream(readings: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
@@ -29,9 +33,14 @@ def windows_stream(readings: DataFrame, delay: str = WATERMARK_DELAY) -> DataFra
     return work_windows_expanded(with_event_time(readings, delay))
 
 
-def efficiency_stream(readings: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
+EFFICIENCIES = {"delta": efficiency_delta_stream, "rolling": efficiency_rolling_stream}
+
+
+def efficiency_stream(
+    readings: DataFrame, delay: str = WATERMARK_DELAY, efficiency: str = "delta"
+) -> DataFrame:
     """Windows, then state over windows, in one query."""
-    return efficiency_delta_stream(windows_stream(readings, delay))
+    return EFFICIENCIES[efficiency](windows_stream(readings, delay))
 
 
 def timeline_stream(readings: DataFrame) -> DataFrame:
@@ -40,10 +49,15 @@ def timeline_stream(readings: DataFrame) -> DataFrame:
     return readings.select("*", now.alias("ingest_ts"), now.cast("date").alias("ingest_date"))
 
 
-def status_feeds(readings: DataFrame, delay: str = WATERMARK_DELAY) -> dict[str, DataFrame]:
+def status_feeds(
+    readings: DataFrame,
+    delay: str = WATERMARK_DELAY,
+    groups: int | None = None,
+    efficiency: str = "delta",
+) -> dict[str, DataFrame]:
     """The three feeds of the status table. Defrost keeps late readings."""
     return {
         "defrost": as_changes(defrost_events(readings)),
-        "door": as_changes(door_stream(readings, delay)),
-        "efficiency": as_changes(efficiency_changes(efficiency_stream(readings, delay))),
+        "door": as_changes(door_stream(readings, delay, groups)),
+        "efficiency": as_changes(efficiency_changes(efficiency_stream(readings, delay, efficiency))),
     }

@@ -12,7 +12,7 @@ from frostline.operators.previous import BUCKET, BUCKET_MS, CARRIED, with_carrie
 
 WATERMARK_DELAY = "1 seconds"
 GROUP = "group_"
-STATE_GROUPS = 256
+GROUPS_PER_PARTITION = 4
 
 
 def with_event_time(readings: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
@@ -105,15 +105,19 @@ def with_previous_stream(
     columns: Sequence[str],
     within_ms: int,
     bucket_ms: int = BUCKET_MS,
-    groups: int = STATE_GROUPS,
+    groups: int | None = None,
 ) -> DataFrame:
     """Readings that have a previous one in bounds, with its columns as ``prev_*``.
 
     The stream needs a watermark. State is keyed by a group of devices, so that
     each call into Python has many readings to work on, and by time bucket as in
-    the batch form, so that a backlog of one device spreads over many keys. Use
-    more groups than there are cores; a checkpoint is tied to their number.
+    the batch form, so that a backlog of one device spreads over many keys. A
+    checkpoint is tied to the number of groups, as it is to the session's shuffle
+    partitions; the default is some groups for each of those.
     """
+    if groups is None:
+        shuffled = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        groups = GROUPS_PER_PARTITION * shuffled
     base = readings.select("device_id", "time_ms", "ts", "seq", *columns)
     placed = with_carried(base, within_ms, bucket_ms).withColumn(
         GROUP, F.pmod(F.xxhash64("device_id"), F.lit(groups))

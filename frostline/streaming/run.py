@@ -53,6 +53,8 @@ def run_streams(
     delay: str = WATERMARK_DELAY,
     available_now: bool = False,
     ttl_seconds: int = TIMELINE_TTL_SECONDS,
+    groups: int | None = None,
+    efficiency: str = "delta",
 ) -> list[StreamingQuery]:
     """Raw messages to timeline, status and quarantine under ``root``.
 
@@ -68,6 +70,6 @@ def run_streams(
         append_files(history, root, TIMELINE, available_now, retention=f"{ttl_seconds}s"),
         append_files(quarantine(source), root, QUARANTINE, available_now),
     ]
-    for name, feed in status_feeds(readings, delay).items():
+    for name, feed in status_feeds(readings, delay, groups, efficiency).items():
         queries.append(append_changes(feed, root, name, available_now))
     return queries
