@@ -45,7 +45,7 @@ from frostline.session import scratch_dir
 SEQUENCE = 2048
 BATCH_SEQUENCES = 64
 # Encoded pieces that a worker remembers, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 INDEX = "file long, path string, id {id}, start long, n_tokens long"
 
 # Where cutting at every space could change what the pre-tokenizer sees: more than
