@@ -191,8 +191,13 @@ def _latency(spark, sf_dir):
 # --- streams, run to their end ---------------------------------------------
 
 
-def _stream(result, name):
-    return lambda spark, sf_dir: bounded.run_over_events(spark, sf_dir, result, name)
+def _stream(result, name, late=None):
+    return lambda spark, sf_dir: bounded.run_over_events(spark, sf_dir, result, name, late)
+
+
+def _late():
+    """Readings that reach the stream long after the watermark has passed them."""
+    return F.col("event_type") == "error"
 
 
 def _stream_timeline(spark, sf_dir):
@@ -278,6 +283,11 @@ def _sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "stream_timeline": _stream_timeline,
         "stream_status": _stream_status,
+        "stream_late_defrost": lambda s, d: _stream(defrost_events, "late-defrost", _late())(s, d),
+        "stream_late_door": lambda s, d: _stream(feeds.door_stream, "late-door", _late())(s, d),
+        "stream_late_windows": lambda s, d: _stream(feeds.windows_stream, "late-work", _late())(s, d).drop(
+            "window_end"
+        ),
     }
 
 
@@ -294,6 +304,11 @@ _READINGS = """readings AS (
          10*cast(json_extract(props,'$.k') AS bigint) AS delay
   FROM events)"""
 
+_ALL_READINGS = _READINGS.replace("readings AS", "all_readings AS", 1)
+_ON_TIME = """readings AS (
+  SELECT a.* FROM all_readings a, (SELECT min(time_ms) AS lo, max(time_ms) AS hi FROM all_readings)
+  WHERE NOT (event_type = 'error' AND (time_ms - lo) * 4 // (hi - lo + 1) = 0))"""
+
 _PAIRS = """lagged AS (
   SELECT *, lag(time_ms) OVER w AS prev_time_ms, lag(temp) OVER w AS prev_temp, lag(kw) OVER w AS prev_kw
   FROM readings WINDOW w AS (PARTITION BY device_id ORDER BY time_ms, seq)),
@@ -500,4 +515,12 @@ def _sensor_oracle_sql() -> dict[str, str]:
         "stream_efficiency_rolling": rolling,
         "stream_timeline": timeline,
         "stream_status": status,
+        # Late readings count where there is no state, and only there.
+        "stream_late_defrost": defrost,
+        "stream_late_door": _with(
+            (_ALL_READINGS, _ON_TIME, _PAIRS), "SELECT device_id, prev_kw < kw AS door_open, time_ms, seq FROM pairs"
+        ),
+        "stream_late_windows": _with(
+            (_ALL_READINGS, _ON_TIME, _WINDOWS), "SELECT device_id, window_end_ms, temp, work FROM windows"
+        ),
     }

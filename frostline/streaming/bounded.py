@@ -3,12 +3,12 @@
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.schema import READING_SCHEMA
+from frostline.schema import READING_COLUMNS, READING_SCHEMA
 from frostline.session import scratch_dir, stream_session
-from frostline.sources.events import as_readings, events_path
+from frostline.sources.events import read_readings
 from frostline.sources.messages import encode
 from frostline.sources.replay import replay_stream
 from frostline.streaming.run import append_files, run_streams
@@ -17,6 +17,10 @@ from frostline.streaming.run import append_files, run_streams
 END_DEVICE = "end of stream"
 END_TIME = datetime(2200, 1, 1, tzinfo=timezone.utc)
 
+# Micro-batches hold about so many readings, but there are always a few.
+BATCH_ROWS = 1_000_000
+LEAST_BATCHES = 4
+
 
 def end_marker(spark: SparkSession) -> DataFrame:
     end_ms = int(END_TIME.timestamp() * 1000)
@@ -24,23 +28,42 @@ def end_marker(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(row, READING_SCHEMA)
 
 
-def events_stream(session: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """The whole ``events`` table as one micro-batch, and its end marker.
+def write_slices(readings: DataFrame, path: str, late: Column | None = None) -> int:
+    """Readings as one file for each slice of time, in order, then the end marker.
+
+    Slices are equally long. Readings of the first one that are ``late`` come
+    with the last one instead. Files are written one after the other, since a
+    stream takes them in the order of their times of writing.
+    """
+    low, high, rows = readings.agg(F.min("time_ms"), F.max("time_ms"), F.count("*")).first()
+    slices = max(LEAST_BATCHES, -(-rows // BATCH_ROWS))
+    if rows:
+        own = F.call_function("div", (F.col("time_ms") - low) * slices, F.lit(high - low + 1))
+        is_late = F.lit(False) if late is None else F.coalesce(late, F.lit(False)) & (own == 0)
+        placed = readings.withColumn("slice_", F.when(is_late, slices - 1).otherwise(own))
+        for n in range(slices):
+            part = placed.where(F.col("slice_") == n).select(*READING_COLUMNS)
+            part.coalesce(1).write.mode("append").parquet(path)
+    end_marker(readings.sparkSession).coalesce(1).write.mode("append").parquet(path)
+    return slices
+
+
+def events_stream(session: SparkSession, sf_dir: str, folder: str, late: Column | None = None) -> DataFrame:
+    """The ``events`` table as time-ordered micro-batches, and its end marker.
 
-    In one micro-batch nothing is late, whatever the order of files and rows.
+    ``late`` is a condition on ``event_type`` and the columns of a reading.
     """
-    schema = session.read.parquet(events_path(sf_dir)).schema
-    # The table may be one file or a folder of them; a stream takes either only
-    # as a glob.
-    either = f"{sf_dir.rstrip('/')}/[e]vents.parquet"
-    readings = as_readings(replay_stream(session, either, schema, files_per_trigger=None))
-    end_marker(session).write.parquet(f"{folder}/end")
-    end = replay_stream(session, f"{folder}/end", READING_SCHEMA, files_per_trigger=None)
-    return readings.unionByName(end)
+    readings = read_readings(session, sf_dir, event_type=F.col("event_type"))
+    write_slices(readings, f"{folder}/readings", late)
+    return replay_stream(session, f"{folder}/readings", READING_SCHEMA, files_per_trigger=1)
 
 
 def run_over_events(
-    spark: SparkSession, sf_dir: str, result: Callable[[DataFrame], DataFrame], name: str
+    spark: SparkSession,
+    sf_dir: str,
+    result: Callable[[DataFrame], DataFrame],
+    name: str,
+    late: Column | None = None,
 ) -> DataFrame:
     """Stream ``events`` through ``result`` to the end; returns what it wrote.
 
@@ -49,18 +72,19 @@ def run_over_events(
     """
     session = stream_session(spark)
     folder = scratch_dir(spark, name)
-    out = result(events_stream(session, sf_dir, folder))
+    out = result(events_stream(session, sf_dir, folder, late))
     query = append_files(out, folder, "out", available_now=True)
     query.awaitTermination()
     written = spark.read.schema(out.schema).parquet(f"{folder}/out")
     return written.where(F.col("device_id") != END_DEVICE)
 
 
-def run_all_over_events(spark: SparkSession, sf_dir: str, name: str) -> str:
+def run_all_over_events(spark: SparkSession, sf_dir: str, name: str, efficiency: str = "delta") -> str:
     """Every query of :func:`run_streams` over ``events``; returns their folder."""
     session = stream_session(spark)
     folder = scratch_dir(spark, name)
     messages = encode(events_stream(session, sf_dir, folder))
-    for query in run_streams(session, lambda _: messages, folder, available_now=True):
+    streams = run_streams(session, lambda _: messages, folder, available_now=True, efficiency=efficiency)
+    for query in streams:
         query.awaitTermination()
     return folder
