@@ -125,4 +125,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_files": op10,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# CRC-32 over the bytes of a text, from its own table of 256 remainders.
+_CRC = """crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, k:
+             CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS i))),
+octets AS (
+  SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 8 AS size,
+         list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS b
+  FROM documents),
+sized AS (
+  SELECT doc_id, source, size,
+         xor(list_reduce(list_prepend(4294967295, b), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])),
+             4294967295) AS text_crc32,
+         ('0x' || substr(md5('shards:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS shuffled
+  FROM octets, crc_table)"""
+
+_SHARDS = f"""WITH {_CRC},
+ranked AS (
+  SELECT *, (2 * row_number() OVER w - 1)::DOUBLE / (2 * count(*) OVER (PARTITION BY source))::DOUBLE AS fraction
+  FROM sized
+  WINDOW w AS (PARTITION BY source ORDER BY shuffled, doc_id NULLS FIRST, text_crc32, size)),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, source NULLS FIRST, shuffled, doc_id NULLS FIRST, text_crc32, size) - 1
+              AS place,
+         count(*) OVER () AS n
+  FROM ranked),
+cut AS (SELECT *, place * {SHARDS} // n AS shard FROM placed)
+SELECT doc_id, source, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, shard::INTEGER AS shard,
+       place - (shard * n + {SHARDS} - 1) // {SHARDS} AS slot, 'rows' AS law, NULL::INTEGER AS grown_shard
+FROM cut"""
+
+_WARC = f"""WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+held AS (
+  SELECT *, CASE WHEN payload_bytes >= {warc.REVISIT_BYTES}
+                 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS holder
+  FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN holder IS NOT NULL AND holder IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN holder IS DISTINCT FROM page_id THEN holder END AS refers_to
+FROM held"""
+
+# The others have no SQL: hashed counts, fitted weights, a parser, a tokenizer, a
+# graph walk, XXH64 and best fit. Tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {"op6_sharding": _SHARDS, "op8_warc": _WARC}
