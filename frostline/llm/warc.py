@@ -10,7 +10,8 @@ Of records with equal payloads of at least ``revisit_bytes``, that with the
 largest id is a response and the others are revisits of it, without a payload;
 all smaller ones are responses.
 
-A task writes one archive. The table of archives names those that count, so
+A task writes one archive, in which each record is compressed by itself, as is
+usual for ``.warc.gz`` files. The table of archives names those that count, so
 what a lost or repeated task has written stays unread. A digest that doesn't
 match its header is an error.
 
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -39,6 +41,8 @@ from frostline.session import scratch_dir
 CHUNK_BYTES = 1 << 18
 REVISIT_BYTES = 1000
 SALTS = 32
+COMPRESSION = 1
+GZIP = 31  # zlib's window bits for gzip members
 _EMIT_BYTES = 1 << 22
 
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
@@ -110,8 +114,8 @@ def write_archives(
     table = chunks(record_types(rows, revisit_bytes), chunk_bytes)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, records, total = None, 0, 0
-        path = f"{folder}/pages-{uuid.uuid4().hex}.warc"
+        out, gz, records, total = None, None, 0, 0
+        path = f"{folder}/pages-{uuid.uuid4().hex}.warc.gz"
         for batch in batches:
             heads = zip(*(batch.column(i).to_pylist() for i in range(6)))
             for at, (page, url, digest, size, refers_to, number) in enumerate(heads):
@@ -121,12 +125,13 @@ def write_archives(
                     out = fs.open_output_stream(inner, buffer_size=1 << 20)
                 if number == 0:
                     if records:
-                        out.write(b"\r\n\r\n")
-                    out.write(record_head(page, url, digest, size, refers_to))
+                        out.write(gz.compress(b"\r\n\r\n") + gz.flush())
+                    gz = zlib.compressobj(COMPRESSION, wbits=GZIP)
+                    out.write(gz.compress(record_head(page, url, digest, size, refers_to)))
                     records += 1
-                out.write(batch.column(6)[at].as_buffer())
+                out.write(gz.compress(batch.column(6)[at].as_buffer()))
         if out is not None:
-            out.write(b"\r\n\r\n")
+            out.write(gz.compress(b"\r\n\r\n") + gz.flush())
             total = out.tell()
             out.close()
             yield pa.RecordBatch.from_pydict({"path": [path], "records": [records], "n_bytes": [total]})
@@ -170,7 +175,7 @@ def read_chunks(
     def records(path: str) -> Iterator[tuple]:
         fs, inner = pyarrow.fs.FileSystem.from_uri(path)
         with fs.open_input_stream(inner, buffer_size=1 << 20) as raw:
-            stream = _Buffered(raw)
+            stream = _Buffered(_Unzipped(raw))
             while (head := read_record_head(stream)) is not None:
                 page, kind = _page_of(head["warc-record-id"]), head["warc-type"]
                 digest, size = head["warc-payload-digest"].removeprefix("sha1:"), int(head["x-payload-length"])
@@ -219,6 +224,28 @@ def read_chunks(
     return found.withColumns({c: F.col(c).cast(id_type) for c in ("page", "refers_to")})
 
 
+class _Unzipped:
+    """The bytes of gzip members one after the other."""
+
+    def __init__(self, raw) -> None:
+        self.raw, self.zip, self.held = raw, None, b""
+
+    def read(self, size: int) -> bytes:
+        while True:
+            if self.zip is None or self.zip.eof:
+                self.held = self.held or self.raw.read(1 << 20)
+                if not self.held:
+                    return b""
+                self.zip = zlib.decompressobj(wbits=GZIP)
+            data = self.held or self.raw.read(1 << 20)
+            out = self.zip.decompress(data, size)
+            self.held = self.zip.unused_data if self.zip.eof else self.zip.unconsumed_tail
+            if out:
+                return out
+            if not data and not self.zip.eof:
+                raise ValueError("the archive ends within a record")
+
+
 class _Buffered:
     """Lines and exact reads from a stream that has neither."""
 

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 from collections import Counter
 
@@ -52,9 +53,11 @@ def test_damage_is_an_error(spark):
     folder = spark.conf.get("spark.checkpoint.dir") + "/warc-damaged"
     archives = warc.write_archives(pages, folder)
     path = archives.first()["path"].removeprefix("file://")
-    data = bytearray(open(path, "rb").read())
+    with gzip.open(path) as member:
+        data = bytearray(member.read())
     data[-100] ^= 1
-    open(path, "wb").write(bytes(data))
+    with gzip.open(path, "wb") as member:
+        member.write(bytes(data))
     with pytest.raises(Exception, match="does not match its digest"):
         warc.read_chunks(archives).collect()
 
