@@ -123,10 +123,15 @@ def _timeline_stored(spark, sf_dir):
 
 
 def _status_stored(spark, sf_dir):
+    """Stored in three batches, with a compaction after each of the first two."""
     path = scratch_dir(spark, "status")
-    write_changes(status_changes(read_readings(spark, sf_dir)), path, "all", 0)
-    compact_status(spark, path, f"{path}-compacted")
-    return read_status(spark, f"{path}-compacted")
+    changes = status_changes(read_readings(spark, sf_dir))
+    for batch in range(3):
+        third = changes.where(F.pmod(F.col("time_ms"), F.lit(3)) == batch)
+        write_changes(third, path, "all", batch)
+        if batch < 2:
+            compact_status(spark, path)
+    return read_status(spark, path)
 
 
 def _millis(view: DataFrame) -> DataFrame:

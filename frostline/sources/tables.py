@@ -6,6 +6,7 @@ naming the micro-batch it came from, and folded when read.
 
 from datetime import datetime, timedelta
 
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,7 +53,9 @@ def read_timeline(
     """The timeline as of a time: rows not yet expired, the last write winning.
 
     Writes are only deduplicated among themselves, so reading does it across
-    them. ``ttl_seconds=None`` reads the whole history.
+    them. ``ttl_seconds=None`` reads all that is stored, which for a stream's
+    timeline is no more than what it retains. Dates that have expired whole are
+    not looked at.
     """
     rows = spark.read.schema(TIMELINE_SCHEMA).parquet(path)
     if ttl_seconds is not None:
@@ -62,6 +65,8 @@ def read_timeline(
 
 def save_timeline_table(readings: DataFrame, table: str) -> None:
     """S5 as a catalog table, whose old dates :func:`drop_expired` can drop."""
+    if "ingest_ts" not in readings.columns:
+        readings = readings.withColumn("ingest_ts", F.current_timestamp())
     rows = upsert_timeline(readings, extra=("ts", "ingest_ts"))
     dated = rows.withColumn("ingest_date", F.col("ingest_ts").cast("date"))
     laid_out(dated).write.mode("append").partitionBy("ingest_date").saveAsTable(table)
@@ -80,18 +85,49 @@ def drop_expired(
     return expired
 
 
+def drop_expired_files(path: str, as_of: datetime, ttl_seconds: int = TIMELINE_TTL_SECONDS) -> list[str]:
+    """Delete the dates of a timeline folder that hold expired rows only.
+
+    For folders written by :func:`write_timeline` and by the stream. Readers with
+    the same time to live don't look at these dates any more.
+    """
+    oldest = (as_of - timedelta(seconds=ttl_seconds)).date()
+    dates = {d: p for p in _folders(path) if (d := p.rpartition("ingest_date=")[2]) != p}
+    expired = sorted(d for d in dates if datetime.fromisoformat(d).date() < oldest)
+    for day in expired:
+        _delete(dates[day])
+    return expired
+
+
+# --- status: batches of changes, and snapshots that fold them -----------------
+#
+# changes/feed=F/batch_id=N     what a micro-batch of a feed changed
+# snapshots/version=V           all changes up to a batch of each feed, folded
+# folded/version=V              those batches; written last, so V is complete
+
+
 def write_changes(changes: DataFrame, path: str, feed: str, batch_id: int) -> None:
     """One micro-batch of a feed, folded first to a row per device.
 
     Writing the same micro-batch again replaces it, so a replay after a failure
     leaves no trace.
     """
-    target = f"{path}/feed={feed}/batch_id={batch_id}"
+    target = f"{path}/changes/feed={feed}/batch_id={batch_id}"
     compact_changes(changes).write.mode("overwrite").parquet(target)
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CHANGES_SCHEMA).parquet(path)
+    """The latest snapshot and the batches it has not folded in."""
+    version, folded = _latest_version(spark, path)
+    batches = spark.read.schema(CHANGES_SCHEMA).parquet(f"{path}/changes")
+    for feed, last in folded.items():
+        batches = batches.where((F.col("feed") != feed) | (F.col("batch_id") > last))
+    if version is None:
+        return batches
+    snapshot = spark.read.schema(STATUS_CHANGE_SCHEMA).parquet(f"{path}/snapshots/version={version}")
+    return snapshot.withColumns({"feed": F.lit(None).cast("string"), "batch_id": F.lit(None).cast("long")}).unionByName(
+        batches
+    )
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
@@ -99,6 +135,81 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
     return fold_status(read_changes(spark, path))
 
 
-def compact_status(spark: SparkSession, path: str, target: str) -> None:
-    """Fold all changes so far into another folder, of the same layout."""
-    write_changes(read_changes(spark, path), target, "compacted", 0)
+def compact_status(spark: SparkSession, path: str) -> int | None:
+    """Fold all complete batches into a new snapshot; returns its version.
+
+    Readers switch to it once it is complete. What the snapshot before had folded
+    is deleted now, so a read may take as long as the time between two calls, and
+    no read lists more batches than came in two such times. One caller at a time;
+    feeds may go on writing meanwhile.
+    """
+    complete = _complete_batches(path)
+    version, folded = _latest_version(spark, path)
+    if all(last <= folded.get(feed, -1) for feed, last in complete.items()):
+        return version
+    changes = read_changes(spark, path)
+    for feed, last in complete.items():  # a batch may be half written by now
+        changes = changes.where(~F.col("feed").eqNullSafe(F.lit(feed)) | (F.col("batch_id") <= last))
+    changes = changes.where(F.col("feed").isNull() | F.col("feed").isin(list(complete)))
+    new = 0 if version is None else version + 1
+    compact_changes(changes).write.mode("overwrite").parquet(f"{path}/snapshots/version={new}")
+    # A row for each feed.
+    table = spark.createDataFrame(sorted((folded | complete).items()), "feed string, last long")
+    table.coalesce(1).write.mode("overwrite").parquet(f"{path}/folded/version={new}")
+    _delete_folded(path, folded, before_version=version)
+    return new
+
+
+def _latest_version(spark: SparkSession, path: str) -> tuple[int | None, dict[str, int]]:
+    done = [p for p in _folders(f"{path}/folded") if _has_success(p)]
+    if not done:
+        return None, {}
+    version = max(int(p.rpartition("=")[2]) for p in done)
+    rows = spark.read.parquet(f"{path}/folded/version={version}").collect()  # one for each feed
+    return version, {r["feed"]: r["last"] for r in rows}
+
+
+def _complete_batches(path: str) -> dict[str, int]:
+    """The last complete batch of each feed. Batches of a feed come in order."""
+    last = {}
+    for feed in _folders(f"{path}/changes"):
+        numbers = [int(p.rpartition("=")[2]) for p in _folders(feed) if _has_success(p)]
+        if numbers:
+            last[feed.rpartition("feed=")[2]] = max(numbers)
+    return last
+
+
+def _delete_folded(path: str, folded: dict[str, int], before_version: int | None) -> None:
+    for feed, last in folded.items():
+        for batch in _folders(f"{path}/changes/feed={feed}"):
+            if int(batch.rpartition("=")[2]) <= last:
+                _delete(batch)
+    for kind in ("snapshots", "folded"):
+        for old in _folders(f"{path}/{kind}"):
+            if before_version is not None and int(old.rpartition("=")[2]) < before_version:
+                _delete(old)
+
+
+# --- folders of any file system -------------------------------------------------
+
+
+def _place(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    if "://" not in path:
+        path = f"file://{path.removeprefix('file:')}"
+    return pyarrow.fs.FileSystem.from_uri(path)
+
+
+def _folders(path: str) -> list[str]:
+    fs, inner = _place(path)
+    found = fs.get_file_info(pyarrow.fs.FileSelector(inner, allow_not_found=True))
+    return [f"{path.rstrip('/')}/{i.base_name}" for i in found if i.type == pyarrow.fs.FileType.Directory]
+
+
+def _has_success(path: str) -> bool:
+    fs, inner = _place(path)
+    return fs.get_file_info(f"{inner}/_SUCCESS").type == pyarrow.fs.FileType.File
+
+
+def _delete(path: str) -> None:
+    fs, inner = _place(path)
+    fs.delete_dir(inner)

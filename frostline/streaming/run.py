@@ -9,10 +9,14 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from frostline.operators.latency import observe_latency
 from frostline.schema import TIMELINE_TTL_SECONDS, TRIGGER_INTERVAL
 from frostline.sources.messages import decode, quarantine
-from frostline.sources.tables import write_changes
+from frostline.sources.tables import compact_status, write_changes
 from frostline.streaming.feeds import status_feeds, timeline_stream
 from frostline.streaming.previous import WATERMARK_DELAY
 
+# Micro-batches between two compactions of the status table.
+COMPACT_EVERY = 100
+QUARANTINE_SECONDS = 30 * 86_400
+
 TIMELINE, STATUS, QUARANTINE, CHECKPOINTS = "timeline", "status", "quarantine", "checkpoints"
 
 
@@ -36,12 +40,18 @@ def append_files(
 
 
 def append_changes(
-    feed: DataFrame, root: str, name: str, available_now: bool = False
+    feed: DataFrame, root: str, name: str, available_now: bool = False, compact_every: int | None = None
 ) -> StreamingQuery:
-    """Status changes, folded per micro-batch and replaced when one is replayed."""
+    """Status changes, folded per micro-batch and replaced when one is replayed.
+
+    ``compact_every`` batches, this query folds those of all feeds; only one
+    query of a status folder may do so.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_changes(batch, f"{root}/{STATUS}", name, batch_id)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact_status(batch.sparkSession, f"{root}/{STATUS}")
 
     return _triggered(feed.writeStream.foreachBatch(write), root, f"status-{name}", available_now)
 
@@ -55,21 +65,28 @@ def run_streams(
     ttl_seconds: int = TIMELINE_TTL_SECONDS,
     groups: int | None = None,
     efficiency: str = "delta",
+    compact_every: int = COMPACT_EVERY,
+    quarantine_seconds: int = QUARANTINE_SECONDS,
 ) -> list[StreamingQuery]:
     """Raw messages to timeline, status and quarantine under ``root``.
 
     ``messages`` makes the source stream (``value``, ``seq``) from a session, for
     example :func:`frostline.sources.kafka.read_kafka_stream`. Use a session of
     :func:`frostline.session.stream_session`. The timeline's files are dropped
-    from its log some time after they expire; readers apply the exact limit.
+    from its log some time after they expire; readers apply the exact limit, and
+    :func:`frostline.sources.tables.drop_expired_files` deletes whole dates.
+    Files of the quarantine leave its log after ``quarantine_seconds``.
     """
     source = messages(session)
     readings = decode(source)
     history = timeline_stream(observe_latency(readings))
     queries = [
         append_files(history, root, TIMELINE, available_now, retention=f"{ttl_seconds}s"),
-        append_files(quarantine(source), root, QUARANTINE, available_now),
+        append_files(
+            quarantine(source), root, QUARANTINE, available_now, retention=f"{quarantine_seconds}s"
+        ),
     ]
     for name, feed in status_feeds(readings, delay, groups, efficiency).items():
-        queries.append(append_changes(feed, root, name, available_now))
+        compact = compact_every if name == "defrost" else None
+        queries.append(append_changes(feed, root, name, available_now, compact))
     return queries
