@@ -122,7 +122,7 @@ def write_archives(
                 if out is None:
                     fs, inner = pyarrow.fs.FileSystem.from_uri(path)
                     fs.create_dir(inner.rpartition("/")[0], recursive=True)
-                    out = fs.open_output_stream(inner, buffer_size=1 << 20)
+                    out = fs.open_output_stream(inner, compression=None, buffer_size=1 << 20)
                 if number == 0:
                     if records:
                         out.write(gz.compress(b"\r\n\r\n") + gz.flush())
@@ -174,7 +174,7 @@ def read_chunks(
 
     def records(path: str) -> Iterator[tuple]:
         fs, inner = pyarrow.fs.FileSystem.from_uri(path)
-        with fs.open_input_stream(inner, buffer_size=1 << 20) as raw:
+        with fs.open_input_stream(inner, compression=None, buffer_size=1 << 20) as raw:
             stream = _Buffered(_Unzipped(raw))
             while (head := read_record_head(stream)) is not None:
                 page, kind = _page_of(head["warc-record-id"]), head["warc-type"]
