@@ -64,7 +64,12 @@ def order_cell(order: Column) -> Column:
 
 
 def positions(
-    rows: DataFrame, by: list[str], cell: Column, order: list[str], amount: Column | None = None
+    rows: DataFrame,
+    by: list[str],
+    cell: Column,
+    order: list[str],
+    amount: Column | None = None,
+    spread: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add ``before``, the rows or their ``amount`` that come earlier within ``by``,
     and ``total``, that of all rows of the group.
@@ -72,12 +77,13 @@ def positions(
     ``cell`` is a number below ``CELLS`` that never falls along ``order`` and
     that spreads the rows of a group. Rows are ordered within a cell only; the
     totals of the cells before it are added. So no task holds a whole group,
-    however large that is.
+    however large that is. Rows that are already dealt out by ``by`` and the
+    columns ``spread``, which a cell has one value of, are not dealt anew.
     """
     amount = F.lit(1).cast("long") if amount is None else amount.cast("long")
     keys = {f"key_{i}": F.coalesce(F.col(b).cast("string"), F.lit("\0")) for i, b in enumerate(by)}
     marked = rows.withColumns(keys | {"cell_": cell.cast("int"), "amount_": amount})
-    by, keys = list(keys), [*keys, "cell_"]
+    by, keys = list(keys), [*keys, *spread, "cell_"]
     cells = marked.groupBy(*keys).agg(F.sum("amount_").alias("in_cell_"))
     group = Window.partitionBy(*by)
     earlier = group.orderBy("cell_").rowsBetween(Window.unboundedPreceding, -1)

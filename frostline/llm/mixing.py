@@ -9,8 +9,9 @@ seeded order of its own: whole epochs, and of the last the shortest prefix of
 rows whose tokens reach the budget.
 
 Budgets are worked out on one row for each node, among the children of a parent
-at a time. Rows are ranked without one task holding a whole leaf: see
-``positions``.
+at a time. Rows are dealt into salts by a hash of their ids, so that no task holds a
+whole leaf: an epoch takes the salts one after the other, each epoch beginning
+with another, and the rows of a salt in a seeded order.
 
 Defined results
 * A null in a tree column is a value of its own. Null tokens count as 0.
@@ -27,7 +28,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frostline.llm.common import order_cell, positions, seeded_order, written
+from frostline.llm.common import CELLS, order_cell, positions, seeded_order, written
+
+SALTS = 64
 
 
 def share_out(budget: int, weights: np.ndarray, caps: np.ndarray) -> np.ndarray:
@@ -115,6 +118,7 @@ def mixed(
         F.col(id_col).alias("id"),
         *(F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(f"tree_{i}") for i, c in enumerate(levels)),
         F.coalesce(tokens.cast("long"), F.lit(0)).alias("row_tokens"),
+        (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).cast("binary")) % SALTS).alias("salt"),
     )
     tree = [f"tree_{i}" for i in range(len(levels))]
     leaves = documents.groupBy(*levels).agg(F.sum(F.coalesce(tokens.cast("long"), F.lit(0))).alias("available"))
@@ -125,10 +129,18 @@ def mixed(
         F.when(F.col("available") > 0, F.expr("budget div available")).otherwise(0).alias("whole"),
         F.when(F.col("available") > 0, F.col("budget") % F.col("available")).otherwise(0).alias("rest"),
     )
-    known = rows.join(budgets, tree)
-    known = known.withColumn("shuffled", seeded_order(F.concat(F.lit(f"{seed}:"), F.col("whole")), F.col("id")))
+    salted = budgets.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    known = rows.join(salted, [*tree, "salt"])
+    order = seeded_order(F.concat(F.lit(f"{seed}:"), F.col("whole")), F.col("id"))
+    known = known.withColumns({"turn": F.pmod(F.col("salt") - F.col("whole"), F.lit(SALTS)), "shuffled": order})
+    per_salt = CELLS // SALTS
     ranked = positions(
-        known, tree, order_cell(F.col("shuffled")), ["shuffled", "id", "row_tokens"], F.col("row_tokens")
+        known,
+        tree,
+        F.col("turn") * per_salt + F.floor(order_cell(F.col("shuffled")) / SALTS),
+        ["turn", "shuffled", "id", "row_tokens"],
+        F.col("row_tokens"),
+        spread=("salt",),
     )
     times = F.col("whole") + (F.col("before") < F.col("rest")).cast("long")
     chosen = ranked.where(times > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), times.cast("int") - 1)))

@@ -1,4 +1,5 @@
 import hashlib
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -58,7 +59,9 @@ def test_prefixes_of_seeded_epochs(documents, epochs, share):
         whole, rest = divmod(budget, available)
         for e in range(whole):
             want.update((i, source, t, e) for i, t in rows_)
+        salt = lambda i: zlib.crc32(("null" if i is None else str(i)).encode()) % mixing.SALTS
         key = lambda r: (
+            (salt(r[0]) - whole) % mixing.SALTS,
             int(hashlib.md5(f"mix:{whole}:{'null' if r[0] is None else r[0]}".encode()).hexdigest()[:15], 16),
             r[0] is not None, r[0] or 0, r[1],
         )
