@@ -1,35 +1,67 @@
 """Delay from event to ingest."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from frostline.operators.previous import BUCKET, bucket_of
+
 QUANTILES = (0.5, 0.95, 0.99)
+DELAY_BUCKET_MS = 1_000
 
 
-def latency_summary(readings: DataFrame) -> DataFrame:
+def latency_summary(readings: DataFrame, bucket_ms: int = DELAY_BUCKET_MS) -> DataFrame:
     """Exact quantiles of the delay in milliseconds; needs ``ingest_ms``.
 
-    Equal delays are counted before the quantile is taken, so what meets in the
-    last step is one row per distinct millisecond of delay.
+    Equal delays are counted first. Their ranks are then running counts within a
+    bucket of delays, on top of those of the buckets before. One task only ever
+    sees a row for each bucket, and each quantile is one row's delay, or lies
+    between two of them.
     """
     counts = (
         readings.select((F.col("ingest_ms") - F.col("time_ms")).alias("latency_ms"))
         .groupBy("latency_ms")
         .agg(F.count("*").alias("n"))
+        .withColumn(BUCKET, bucket_of(F.col("latency_ms"), bucket_ms))
+    )
+    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = counts.groupBy(BUCKET).agg(F.sum("n").alias("in_bucket"))
+    buckets = buckets.select(
+        BUCKET,
+        F.coalesce(F.sum("in_bucket").over(before), F.lit(0)).alias("offset"),
+        F.sum("in_bucket").over(Window.partitionBy()).alias("total"),
     )
-    marks = [
-        F.percentile("latency_ms", F.lit(q), F.col("n")).alias(f"p{round(q * 100)}_ms")
-        for q in QUANTILES
-    ]
-    mean = F.sum(F.col("latency_ms") * F.col("n")) / F.sum("n")
-    return counts.agg(
+    inside = Window.partitionBy(BUCKET).orderBy("latency_ms").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    ranked = counts.join(buckets, BUCKET).withColumn("start", start)
+
+    def delay_at(rank):
+        held = (F.col("start") <= rank) & (rank < F.col("start") + F.col("n"))
+        return F.max(F.when(held, F.col("latency_ms")))
+
+    marks = []
+    for q in QUANTILES:
+        place = (F.col("total") - 1) * F.lit(q)
+        name = f"p{round(q * 100)}"
+        marks += [
+            delay_at(F.floor(place)).alias(f"{name}_low"),
+            delay_at(F.ceil(place)).alias(f"{name}_high"),
+            F.max(place - F.floor(place)).alias(f"{name}_part"),
+        ]
+    summed = ranked.agg(
         F.sum("n").alias("readings"),
         F.min("latency_ms").alias("min_ms"),
         F.max("latency_ms").alias("max_ms"),
-        mean.alias("mean_ms"),
+        (F.sum(F.col("latency_ms") * F.col("n")) / F.sum("n")).alias("mean_ms"),
         *marks,
     )
 
+    def between(name):
+        low, high, part = (F.col(f"{name}_{x}") for x in ("low", "high", "part"))
+        return (low + (high - low) * part).alias(f"{name}_ms")
+
+    quantiles = [between(f"p{round(q * 100)}") for q in QUANTILES]
+    return summed.select("readings", "min_ms", "max_ms", "mean_ms", *quantiles)
+
 
 def observe_latency(stream: DataFrame, name: str = "latency") -> DataFrame:
     """Report each micro-batch's delays in its progress, as a side effect."""

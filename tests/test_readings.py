@@ -222,3 +222,19 @@ def test_quoted_id(spark):
     assert views.one_status(rows, "nobody", quoted=True).count() == 0
     r = readings(spark, [('"device1"', 1, 1, 1), ('"device1"', 2, 5, 1)])
     assert [x["sensorValue1"] for x in views.latest_reading(r, "device1", quoted=True).collect()] == [5.0]
+
+
+@pytest.mark.parametrize("bucket_ms", [1, 50, 10_000])
+def test_latency_quantiles_are_exact(spark, bucket_ms):
+    import numpy as np
+
+    from frostline.operators.latency import latency_summary
+
+    rng = random.Random(8)
+    delays = [rng.choice([0, 3, 70, rng.randint(0, 5000)]) for _ in range(333)]
+    frame = spark.createDataFrame([(10, 10 + d) for d in delays], "time_ms long, ingest_ms long")
+    got = latency_summary(frame, bucket_ms).first()
+    assert (got["readings"], got["min_ms"], got["max_ms"]) == (333, min(delays), max(delays))
+    want = [*np.quantile(delays, [0.5, 0.95, 0.99]), sum(delays) / 333]
+    assert [got[c] for c in ("p50_ms", "p95_ms", "p99_ms", "mean_ms")] == pytest.approx(want, rel=1e-12)
+    assert latency_summary(frame.where("false"), bucket_ms).first()["readings"] is None
