@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from frostline.functions import float32_millis
@@ -45,6 +45,9 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 ONE_DEVICE = "device7"
 RETAINED_AS_OF = "2024-01-30 00:00:00"
 STATUS_PAGE_ROWS = 1000
+# Small enough to bind: fewer values than a device has, fewer devices than there are.
+SHORT_SPARKLINE = 5
+HOT_THRESHOLD = 9.5
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -105,6 +108,20 @@ def _timeline(spark, sf_dir):
     return upsert_timeline(read_readings(spark, sf_dir))
 
 
+def _timeline_upserted(spark, sf_dir):
+    """Every reading comes twice; the copy that came first has another value."""
+    r = read_readings(spark, sf_dir)
+    older = r.withColumns({"seq": -F.col("seq") - 1, "temp": F.col("temp") + 1})
+    return upsert_timeline(older.unionByName(r))
+
+
+def _timeline_positions(spark, sf_dir):
+    """Where each reading stands among those of its device."""
+    ordered = newest_first(_timeline(spark, sf_dir)).withColumn("at", F.monotonically_increasing_id())
+    of_device = Window.partitionBy("device_id").orderBy("at")
+    return ordered.select("device_id", "time_ms", F.row_number().over(of_device).alias("position"))
+
+
 def _timeline_float32(spark, sf_dir):
     messages = encode(read_readings(spark, sf_dir))
     return upsert_timeline(decode(messages, time_precision="float32"))
@@ -241,6 +258,9 @@ def _sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quarantine": lambda s, d: quarantine(_damaged_messages(s, d)).drop("value"),
         "float32_time": _float32_time,
         "defrost_events": lambda s, d: defrost_events(read_readings(s, d)),
+        "defrost_status_hot": lambda s, d: defrosted_devices(
+            defrost_events(read_readings(s, d), threshold=HOT_THRESHOLD)
+        ),
         "defrost_status": lambda s, d: defrosted_devices(defrost_events(read_readings(s, d))),
         "rising_pairs": _pairs,
         "rising_pairs_dense": lambda s, d: _pairs(s, d, dense_ms=1_000),
@@ -259,6 +279,8 @@ def _sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "timeline_stored": _timeline_stored,
         "timeline_float32": _timeline_float32,
         "timeline_retained": _timeline_retained,
+        "timeline_upserted": _timeline_upserted,
+        "timeline_positions": _timeline_positions,
         "timeline_order": lambda s, d: newest_first(_timeline(s, d)),
         "status_all": lambda s, d: views.all_status(_status(s, d)),
         "status_quoted": _quoted_status,
@@ -275,6 +297,7 @@ def _sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "device_list": lambda s, d: views.device_list(read_readings(s, d)),
         "sparkline_temp": lambda s, d: views.sparkline(read_readings(s, d), "temp"),
         "sparkline_kw": lambda s, d: views.sparkline(read_readings(s, d), "kw"),
+        "sparkline_short": lambda s, d: views.sparkline(read_readings(s, d), "temp", length=SHORT_SPARKLINE),
         "running_extremes": lambda s, d: running_extremes(read_readings(s, d), "temp"),
         "latency_summary": _latency,
         "stream_defrost": _stream(defrost_events, "stream-defrost"),
@@ -386,7 +409,7 @@ def _with(ctes: tuple[str, ...], select: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{', '.join(ctes)} {select}"
 
 
-def _sparkline_sql(column: str) -> str:
+def _sparkline_sql(column: str, length: int = 100) -> str:
     return _with(
         (_READINGS,),
         f"""SELECT device_id, row_number() OVER (PARTITION BY device_id ORDER BY age DESC) AS pos,
@@ -396,7 +419,7 @@ def _sparkline_sql(column: str) -> str:
                          min({column}) OVER (PARTITION BY device_id) AS min_value,
                          max({column}) OVER (PARTITION BY device_id) AS max_value
                   FROM readings)
-            WHERE age <= 100""",
+            WHERE age <= {length}""",
     )
 
 
@@ -439,6 +462,10 @@ def _sensor_oracle_sql() -> dict[str, str]:
         "defrost_status": _with(
             (_READINGS,), "SELECT DISTINCT device_id, true AS defrosted FROM readings WHERE temp >= 0"
         ),
+        "defrost_status_hot": _with(
+            (_READINGS,),
+            f"SELECT DISTINCT device_id, true AS defrosted FROM readings WHERE temp >= {HOT_THRESHOLD}",
+        ),
         "rising_pairs": pairs,
         "rising_pairs_dense": pairs,
         "door_alerts": door,
@@ -466,6 +493,12 @@ def _sensor_oracle_sql() -> dict[str, str]:
         ),
         "timeline_retained": f"""{timeline}
             WHERE event_ts > TIMESTAMP '{RETAINED_AS_OF}' - INTERVAL 7200 SECONDS""",
+        "timeline_upserted": timeline,
+        "timeline_positions": _with(
+            (_READINGS, _TIMELINE),
+            """SELECT device_id, time_ms,
+                      row_number() OVER (PARTITION BY device_id ORDER BY time_ms DESC) AS position FROM timeline""",
+        ),
         "timeline_order": timeline,
         "status_all": status_view,
         "status_quoted": status_view,
@@ -498,6 +531,7 @@ def _sensor_oracle_sql() -> dict[str, str]:
         "device_list": _with((_READINGS,), "SELECT DISTINCT device_id FROM readings ORDER BY device_id"),
         "sparkline_temp": _sparkline_sql("temp"),
         "sparkline_kw": _sparkline_sql("kw"),
+        "sparkline_short": _sparkline_sql("temp", SHORT_SPARKLINE),
         "running_extremes": _with(
             (_READINGS,),
             """SELECT device_id, time_ms, seq, temp AS value,

@@ -40,4 +40,6 @@ def stream_session(spark: SparkSession) -> SparkSession:
     session = use_utc(spark.newSession())
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    # A micro-batch writes what changed in its state, not a copy of all of it.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return session
