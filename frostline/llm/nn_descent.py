@@ -23,8 +23,6 @@ Defined results
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -47,6 +45,10 @@ SEED = 11
 _PAIRS_AT_ONCE = 1 << 21
 
 
+def block_of(n: Column, block_rows: int) -> Column:
+    return F.floor(n / block_rows).cast("long")
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``n``, ``id`` and ``vec``: rows that take part, numbered in the order of ids."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vec"))
@@ -108,15 +110,18 @@ def _graph_rows(owner, other, score, state, sample: int, seed: int) -> pa.Table:
     return pa.table([pa.array(owners, pa.int64()), *lists], names=["n", "other", "score", "state"])
 
 
+def _flat(lists: pa.ChunkedArray) -> np.ndarray:
+    return lists.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+
+
 def _entries(rows: pa.Table, *columns: str) -> list[np.ndarray]:
     """The owner of every entry of lists in a table, and the lists' values."""
     counts = rows["other"].combine_chunks().value_lengths().to_numpy()
-    owner = np.repeat(rows["n"].to_numpy(), counts)
-    return [owner, *(rows[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in columns)]
+    return [np.repeat(rows["n"].to_numpy(), counts), *(_flat(rows[c]) for c in columns)]
 
 
 def first_graph(
-    nodes: DataFrame, block: Callable[[Column], Column], deals: int, neighbours: int, sample: int
+    nodes: DataFrame, block_rows: int, deals: int, neighbours: int, sample: int
 ) -> DataFrame:
     """Every row's nearest rows among those it is dealt into a block with.
 
@@ -156,7 +161,7 @@ def first_graph(
         keep = _top(owner, other, score, neighbours)
         return _graph_rows(owner[keep], other[keep], score[keep], np.full(len(keep), NEW), sample, SEED)
 
-    return found.withColumn("block", block(F.col("n"))).groupBy("block").applyInArrow(merge, GRAPH)
+    return found.withColumn("block", block_of(F.col("n"), block_rows)).groupBy("block").applyInArrow(merge, GRAPH)
 
 
 def sampled_lists(graph: DataFrame, sample: int, salt: int) -> DataFrame:
@@ -176,9 +181,14 @@ def sampled_lists(graph: DataFrame, sample: int, salt: int) -> DataFrame:
     return entries.unionByName(back)
 
 
-def compared(lists: pa.Table, known: pa.Table, neighbours: int) -> pa.Table:
+PROPOSALS = "target long, n array<long>, other array<long>, score array<float>"
+
+
+def compared(lists: pa.Table, known: pa.Table, neighbours: int, block_rows: int) -> pa.Table:
     """Pairs of a block's lists that are nearer than one of the two has known.
 
+    All that goes to the rows of one block is one row: ``n``, ``other`` and
+    ``score`` of each pair, at most ``neighbours`` for each of the block's rows.
     ``known`` has the vectors and the least scores of all rows that the lists name.
     """
     index, vec = known["member"].to_numpy(), _matrix(known["vec"], np.float32)
@@ -222,20 +232,22 @@ def compared(lists: pa.Table, known: pa.Table, neighbours: int) -> pa.Table:
     score = np.concatenate([none.astype(np.float32), *score])
     best = _top(owner, other, score, neighbours)
     owner, other, score = index[owner[best]], index[other[best]], score[best]
-    owners, starts = np.unique(owner, return_index=True)
+    targets, starts = np.unique(owner // block_rows, return_index=True)
     cuts = pa.array(np.append(starts, len(owner)), pa.int32())
     return pa.table({
-        "n": pa.array(owners, pa.int64()),
+        "target": pa.array(targets, pa.int64()),
+        "n": pa.ListArray.from_arrays(cuts, pa.array(owner, pa.int64())),
         "other": pa.ListArray.from_arrays(cuts, pa.array(other, pa.int64())),
         "score": pa.ListArray.from_arrays(cuts, pa.array(score, pa.float32())),
     })
 
 
 def improved(
-    graph: DataFrame, nodes: DataFrame, block: Callable[[Column], Column], neighbours: int, sample: int, turn: int
+    graph: DataFrame, nodes: DataFrame, block_rows: int, neighbours: int, sample: int, turn: int
 ) -> DataFrame:
     """One round of NN-descent."""
-    lists = written(sampled_lists(graph, sample, turn).withColumn("block", block(F.col("n"))), "lists")
+    block = block_of(F.col("n"), block_rows)
+    lists = written(sampled_lists(graph, sample, turn).withColumn("block", block), "lists")
     # A list that is not full accepts anything.
     least = F.when(F.size("score") >= neighbours, F.array_min("score")).otherwise(F.lit(float("-inf")))
     bars = graph.select(F.col("n").alias("member"), least.cast("float").alias("least"))
@@ -244,36 +256,30 @@ def improved(
     known = wanted.join(vectors, "member")
 
     def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        return compared(left, right, neighbours)
+        return compared(left, right, neighbours, block_rows)
 
-    proposed = lists.groupBy("block").cogroup(known.groupBy("asking")).applyInArrow(
-        compare, "n long, other array<long>, score array<float>"
-    )
-    fresh = F.transform("other", lambda _: F.lit(NEW).cast("tinyint"))
+    proposed = lists.groupBy("block").cogroup(known.groupBy("asking")).applyInArrow(compare, PROPOSALS)
 
-    def merge(key: tuple, rows: pa.Table) -> pa.Table:
+    def merge(key: tuple, rows: pa.Table, proposals: pa.Table) -> pa.Table:
         owner, other, score, state = _entries(rows, "other", "score", "state")
-        counts = rows["other"].combine_chunks().value_lengths().to_numpy()
-        proposal = np.repeat(~rows["known"].to_numpy(zero_copy_only=False), counts)
-        order = np.argsort(proposal, kind="stable")  # known entries first, as equal pairs count where first
-        owner, other, score, state = owner[order], other[order], score[order], state[order]
         state = np.where(state == NEW, NEW, OLD)  # what a sample has had is old from now on
+        fresh = [_flat(proposals[c]) for c in ("n", "other", "score")]
+        # Known entries first, as of equal pairs the first one counts.
+        owner, other, score = (np.concatenate(x) for x in zip((owner, other, score), fresh))
+        state = np.concatenate([state, np.full(len(fresh[0]), NEW)])
         keep = _top(owner, other, score, neighbours)
         return _graph_rows(owner[keep], other[keep], score[keep], state[keep], sample, SEED + turn)
 
-    known_rows = graph.withColumn("known", F.lit(True)).unionByName(
-        proposed.withColumns({"state": fresh, "known": F.lit(False)})
-    )
-    rows = known_rows.withColumn("block", block(F.col("n")))
-    return rows.groupBy("block").applyInArrow(merge, GRAPH)
+    placed = graph.withColumn("block", block)
+    return placed.groupBy("block").cogroup(proposed.groupBy("target")).applyInArrow(merge, GRAPH)
 
 
 def neighbour_graph(
-    nodes: DataFrame, block: Callable[[Column], Column], *, neighbours: int, sample: int, rounds: int
+    nodes: DataFrame, block_rows: int, *, neighbours: int, sample: int, rounds: int
 ) -> DataFrame:
-    graph = written(first_graph(nodes, block, DEALS, neighbours, sample), "graph")
+    graph = written(first_graph(nodes, block_rows, DEALS, neighbours, sample), "graph")
     for turn in range(1, rounds + 1):
-        graph = written(improved(graph, nodes, block, neighbours, sample, turn), "graph")
+        graph = written(improved(graph, nodes, block_rows, neighbours, sample, turn), "graph")
         fresh = F.size(F.filter("state", lambda s: (s == NEW) | (s == NEW_SAMPLED)))
         changed, all_ = graph.agg(F.sum(fresh), F.sum(F.size("other"))).first()
         if not all_ or changed <= LEAST_CHANGE * all_:
@@ -282,7 +288,7 @@ def neighbour_graph(
 
 
 def walked(
-    queries: DataFrame, graph: DataFrame, nodes: DataFrame, block: Callable[[Column], Column],
+    queries: DataFrame, graph: DataFrame, nodes: DataFrame, block_rows: int,
     *, beam: int, expanded: int, hops: int,
 ) -> DataFrame:
     """``query``, ``n``, ``id``, ``score`` of the best rows each query's walk has met.
@@ -316,7 +322,7 @@ def walked(
     starts = queries.select("query", F.col("query").alias("n"))
     for hop in range(hops + 1):
         met = starts.join(edges, "n").where(F.col("other") != F.col("query")).select("query", "other").distinct()
-        asked = met.withColumn("block", block(F.col("other"))).groupBy("block", "query").agg(
+        asked = met.withColumn("block", block_of(F.col("other"), block_rows)).groupBy("block", "query").agg(
             F.collect_list("other").alias("others")  # at most a block's rows
         )
         asked = asked.join(queries, "query")
@@ -352,13 +358,10 @@ def nearest(
 
     ``is_query`` is a condition on ``id``.
     """
-    def block(n: Column) -> Column:
-        return F.floor(n / block_rows).cast("long")
-
-    nodes = usable(vectors, id_col, vector_col).withColumn("block", block(F.col("n")))
-    graph = neighbour_graph(nodes, block, neighbours=neighbours, sample=sample, rounds=rounds)
+    nodes = usable(vectors, id_col, vector_col).withColumn("block", block_of(F.col("n"), block_rows))
+    graph = neighbour_graph(nodes, block_rows, neighbours=neighbours, sample=sample, rounds=rounds)
     queries = nodes.where(is_query).select(F.col("n").alias("query"), F.col("vec").alias("own_vec"))
-    found = walked(queries, graph, nodes, block, beam=max(beam, most), expanded=expanded, hops=hops)
+    found = walked(queries, graph, nodes, block_rows, beam=max(beam, most), expanded=expanded, hops=hops)
     best_first = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= most)
     names = nodes.select(F.col("n").alias("query"), F.col("id").alias("query_id"))
