@@ -101,8 +101,7 @@ class Encoder:
     def pieces(self, text: str) -> list[str]:
         if _DOUBTFUL.search(text):
             return _CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+        return text.replace(" ", "\0 ").split("\0") if "\0" not in text else _CUT.split(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.byte_level:
@@ -112,18 +111,12 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        new = []
-        for pieces in cut:
-            for p in pieces:
-                if p not in known:
-                    found = older.get(p)
-                    if found is None:
-                        new.append(p)
-                        known[p] = b""
-                    else:
-                        known[p] = found
-        self.learn(new)
-        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+        unknown = set().union(*cut).difference(known)
+        new = unknown.difference(older)
+        for p in unknown.intersection(older):
+            known[p] = older[p]
+        self.learn(list(new))
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
 
     def learn(self, new: list[str]) -> None:
         known, simple, last, words, odd = self.known, [], [], [], []
@@ -151,7 +144,7 @@ class Encoder:
         ids, ends, total = [], [], 0
         for line in self.words.encode_batch(lines, add_special_tokens=False):
             ids += line.ids
-            number = np.array(line.word_ids)
+            number = np.fromiter(line.word_ids, dtype=np.int64, count=len(line.ids))
             ends.append(total + np.flatnonzero(np.diff(number, append=-1)) + 1)
             total += len(number)
         if simple:
