@@ -10,6 +10,16 @@ it stands in. All of that region's lines are kept, short ones too, except those
 in elements that are no content by their kind: menus, headers, footers, asides,
 forms, scripts, styles, notices, adverts and comments.
 
+Text in an article is preferred, unless the lines above the threshold outside of
+articles are more than twice as long as the longest article.
+
+A class, id or role that names such a kind marks an element, but can also stand
+on a wrapper of the page's content ("has-sidebar"). A mark is void if an article
+inside is longer than the lines above the threshold that no mark covers (twice
+as long, if one of those is in an article), or if the marked element's lines
+above the threshold are five times as long as all that no mark covers and no
+article stands elsewhere. For marks of comments only the second holds.
+
 Defined results
 * A null or empty page, and one without content, gives an empty text.
 * Tags that are never closed end with the element around them, or the page. A
@@ -56,6 +66,11 @@ NO_CONTENT_WORDS = frozenset(
     " search pagination pager widget".split()
 )
 
+TALK_WORDS = frozenset("comment comments respond replies reply discussion disqus".split())
+# How much longer text has to be than what it is preferred to.
+OVER_ARTICLE = 2
+OVER_UNMARKED = 5
+
 _WORD = re.compile(r"[a-z]+")
 _CUT_TAG = re.compile(r"<[A-Za-z/!?][^>]*\Z")
 
@@ -67,6 +82,17 @@ class Element:
     content: bool
     section: Element | None = field(repr=False, default=None)
     article: Element | None = field(repr=False, default=None)
+    mark: int = -1
+
+
+@dataclass
+class Mark:
+    """An element whose class, id or role has a word for what is no content."""
+
+    outer: int
+    number: int
+    article: Element | None = field(repr=False)
+    talk: bool
 
 
 class Lines(HTMLParser):
@@ -79,6 +105,7 @@ class Lines(HTMLParser):
         self.stack = [self.root]
         self.sections = [self.root]
         self.parents = [-1]
+        self.marks: list[Mark] = []
         self.buffer: list[str] = []
         self.tags = 0
         self.lines: list[tuple[str, int, Element]] = []
@@ -100,18 +127,22 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         above = self.stack[-1]
-        content = above.content and tag not in NO_CONTENT
+        content, mark = above.content and tag not in NO_CONTENT, above.mark
         if tag == "header":  # a page's, not an article's
             content = content and above.article is not None
         elif content and tag not in ("html", "body", "main", "article"):
             named = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role"))
-            content = not named or NO_CONTENT_WORDS.isdisjoint(_WORD.findall(named.lower()))
+            words = NO_CONTENT_WORDS.intersection(_WORD.findall(named.lower()))
+            if words:
+                talk = bool(words & TALK_WORDS) or (mark >= 0 and self.marks[mark].talk)
+                self.marks.append(Mark(mark, len(self.sections), above.article, talk))
+                mark = len(self.marks) - 1
         elif tag == "article" and attrs:
             named = " ".join(v or "" for k, v in attrs if k in ("class", "id"))
             content = content and NO_CONTENT_WORDS.isdisjoint({"comment", "reply"} & set(_WORD.findall(named.lower())))
-        elif tag == "main" and not above.content:  # what stands around it was never closed
-            content = True
-        element = Element(tag, len(self.sections), content, above.section, above.article)
+        elif tag == "main" and not (above.content and mark < 0):  # what stands around it was never closed
+            content, mark = True, -1
+        element = Element(tag, len(self.sections), content, above.section, above.article, mark)
         if tag in SECTIONS:
             self.parents.append(above.section.number)
             self.sections.append(element)
@@ -147,6 +178,67 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return total / np.convolve(np.pad(np.ones(len(ratios)), reach), weights, mode="valid")
 
 
+def _outermost(article: Element, parents: list[int], sections: list[Element]) -> Element:
+    outer = sections[parents[article.number]]
+    while outer.article is not None:
+        article = outer.article
+        outer = sections[parents[article.number]]
+    return article
+
+
+def _longest_article(at: np.ndarray, lines: list[tuple[str, int, Element]], least: int = 0) -> float:
+    """The length of the longest article of some lines, of those numbered from ``least``."""
+    lengths: dict[int, float] = {}
+    for n in at:
+        text, _, place = lines[n]
+        if place.article is not None and place.article.number >= least:
+            lengths[place.article.number] = lengths.get(place.article.number, 0.0) + len(text)
+    return max(lengths.values(), default=0.0)
+
+
+def unmarked(parser: Lines, sizes: np.ndarray, smooth: np.ndarray) -> np.ndarray:
+    """Which lines are content, when marks on wrappers of the content are void."""
+    lines, marks = parser.lines, parser.marks
+    kind = np.array([place.content for _, _, place in lines])
+    mark = np.array([place.mark for _, _, place in lines])
+    if not (kind & (mark >= 0)).any():
+        return kind
+    rated = kind & (smooth >= min(smooth.std(), smooth[kind].max()))
+    talk = np.array([m >= 0 and marks[m].talk for m in mark])
+    void: set[int] = set()
+    while True:
+        # The outermost mark in force; only those can become void.
+        tops: list[int] = []
+        for m, own in enumerate(marks):
+            above = tops[own.outer] if own.outer >= 0 else -1
+            tops.append(above if above >= 0 or m in void else m)
+        top = np.array([*tops, -1])[mark]
+        free = kind & (top < 0)
+        places = {lines[n][2].article.number: lines[n][2].article for n in np.flatnonzero(free) if lines[n][2].article}
+        by_article, by_length = [], []
+        for m in sorted(set(top[kind & (top >= 0)].tolist())):
+            own = marks[m]
+            around = set()
+            article = own.article
+            while article is not None:
+                around.add(article.number)
+                article = parser.sections[parser.parents[article.number]].article
+            elsewhere = not around.issuperset(places)
+            if not own.talk and (own.article is None or own.article.tag == "main"):
+                longest = _longest_article(np.flatnonzero(kind & ~talk & (top == m)), lines, own.number)
+                if longest > (OVER_ARTICLE if elsewhere else 1) * sizes[rated & free].sum():
+                    by_article.append((longest, -m))
+            length = sizes[rated & (top == m)].sum()
+            if length and not elsewhere and length >= OVER_UNMARKED * sizes[free].sum():
+                by_length.append((not own.talk, length, -m))
+        if by_article:
+            void.add(-max(by_article)[-1])
+        elif by_length:
+            void.add(-max(by_length)[-1])
+        else:
+            return free
+
+
 def main_text(html: str, sigma: float = SIGMA) -> str:
     """The text of the page's content region."""
     parser = Lines()
@@ -158,13 +250,20 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
         return ""
     sizes = np.array([len(text) for text, _, _ in lines], dtype=float)
     smooth = smoothed(sizes / np.maximum(1, [tags for _, tags, _ in lines]), sigma)
-    content = np.array([place.content for _, _, place in lines])
-    in_article = content & np.array([place.article is not None for _, _, place in lines])
-    able = in_article if in_article.any() else content
-    if not able.any():
+    content = unmarked(parser, sizes, smooth)
+    if not content.any():
         return ""
-    threshold = min(smooth.std(), smooth[able].max())
-    chosen = able & (smooth >= threshold)
+    in_article = content & np.array([place.article is not None for _, _, place in lines])
+    above = lambda able: able & (smooth >= min(smooth.std(), smooth[able].max()))
+    chosen = above(in_article if in_article.any() else content)
+    outside = content & ~in_article
+    if in_article.any() and outside.any():
+        whole: dict[int, float] = {}
+        for n in np.flatnonzero(in_article):
+            number = _outermost(lines[n][2].article, parser.parents, parser.sections).number
+            whole[number] = whole.get(number, 0.0) + sizes[n]
+        if sizes[above(outside)].sum() > OVER_ARTICLE * max(whole.values()):
+            chosen = above(outside)
     weight: dict[int, float] = {}
     for n in np.flatnonzero(chosen):
         number = lines[n][2].section.number
@@ -176,13 +275,12 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
         w for k, w in weight.items() if _within(k, region.number, parser.parents)
     ) < total / 2:
         region = parser.sections[parser.parents[region.number]]
-    if region.article is not None:
-        region = region.article
-        outer = parser.sections[parser.parents[region.number]]
-        while outer.article is not None:  # an article in a main element
-            region, outer = outer.article, parser.sections[parser.parents[outer.article.number]]
+    if region.article is not None:  # or an article in a main element
+        region = _outermost(region.article, parser.parents, parser.sections)
     inside = {k for k in {place.section.number for _, _, place in lines} if _within(k, region.number, parser.parents)}
-    return " ".join(text for text, _, place in lines if place.content and place.section.number in inside)
+    return " ".join(
+        text for (text, _, place), kept in zip(lines, content) if kept and place.section.number in inside
+    )
 
 
 def _within(number: int, outer: int, parents: list[int]) -> bool:

@@ -31,6 +31,32 @@ def test_hand_made_pages(page):
     assert main_text(page) == CASES[page]
 
 
+LONG = "A sentence of the page's main text, which goes on for a while."
+WRAPPED = {
+    f"<body><div class='layout has-sidebar'><article><p>{LONG}</p></article></div></body>": LONG,
+    f"<div class='page with-search'><div class='has-banner'><article><h1>T</h1><p>{LONG}</p></article></div>"
+    "<div class=sidebar><p>more of</p></div></div><div class=foot>foot</div>": f"T {LONG}",
+    # The sidebar is longer than the article.
+    f"<div class='has-sidebar'><article><p>{LONG}</p></article><div class=sidebar><p>{LONG * 3}</p></div></div>": LONG,
+    f"<div class='has-sidebar'><div id=content><p>{LONG}</p><p>{LONG}</p></div><ul class=share><li>x</ul></div>":
+        f"{LONG} {LONG}",
+    f"<article><h1>T</h1><div class='entry social-ready'><p>{LONG}</p></div></article>": f"T {LONG}",
+    f"<div id=content><p>{LONG}</p><p>{LONG}</p></div><article><p>A short teaser.</p></article>": f"{LONG} {LONG}",
+    f"<div class='has-related'><div id=content><p>{LONG}</p></div><div class=related><article><p>Teaser.</p></article>"
+    "</div></div>": LONG,
+    # What is marked rightly stays out, however long.
+    f"<div class=post><p>A short post.</p></div><section id=comments><article><p>{LONG}</p></article></section>":
+        "A short post.",
+    f"<article><p>A short post.</p></article><div class=sidebar><p>{LONG * 9}</p></div>": "A short post.",
+    f"<article><p>{LONG}</p><div class=related><article><p>Teaser.</p></article></div></article>": LONG,
+}
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_names_of_wrappers_and_short_articles(page):
+    assert main_text(page) == WRAPPED[page]
+
+
 def test_pages_of_the_table(spark, small):
     """In these pages the article is marked, so a pattern finds it as well."""
     pages = spark.read.parquet(f"{small}/pages.parquet")
