@@ -23,9 +23,13 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier calls good."""
+    """Documents that the classifier calls good.
+
+    It learns from the labelled rows of the table, as the rules drop most bad ones.
+    """
     others = tuple(c for c in docs.columns if c not in ("doc_id",))
-    scored = quality_classifier.quality_scores(docs, table(spark, sf_dir, "labels"), carry=others)
+    labels, all_docs = table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents")
+    scored = quality_classifier.quality_scores(docs, labels, carry=others, fit_on=all_docs)
     return scored.where("predicted = 1").select(*docs.columns)
 
 

@@ -137,14 +137,17 @@ def quality_scores(
     label_col: str = "quality",
     sample_rows: int = SAMPLE_ROWS,
     carry: tuple[str, ...] = (),
+    fit_on: DataFrame | None = None,
 ) -> DataFrame:
     """The probability of label 1 for every document.
 
     ``sample_rows`` bounds the labelled rows that the model is fitted on.
-    ``carry`` names columns that go through unchanged.
+    ``carry`` names columns that go through unchanged. ``fit_on`` has the labelled
+    texts, in columns of the same names, where ``documents`` no longer has all.
     """
     weights = fit_model(
-        documents, labels, sample_rows=sample_rows, id_col=id_col, text_col=text_col, label_col=label_col
+        documents if fit_on is None else fit_on, labels,
+        sample_rows=sample_rows, id_col=id_col, text_col=text_col, label_col=label_col,
     )
     shared = documents.sparkSession.sparkContext.broadcast(weights)
     outer = [F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)]

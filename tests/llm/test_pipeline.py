@@ -64,6 +64,18 @@ def test_each_verdict_takes_effect(spark, stages):
     assert ids(quality_classifier.quality_scores(ruled, labels).where("predicted = 1")) == ids(classified)
 
 
+def test_classifier_drops_junk_that_came_through_the_rules(spark, stages):
+    """Junk with new ids, as if the rules had kept it: no bad label is left there to learn from."""
+    (_, raw, ruled), _ = stages[:2]
+    labels = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 0").select("doc_id")
+    junk = raw.join(labels, "doc_id").where(quality_classifier.held_out(F.col("doc_id")))
+    junk = junk.withColumn("doc_id", -1 - F.col("doc_id")).select(*ruled.columns)
+    planted = ids(junk)
+    after = ids(pipeline.classifier(spark, ruled.unionByName(junk), SF))
+    assert planted and not any(i in after for i in planted)
+    assert ids(ruled) == after
+
+
 def test_one_of_each_group_stays(stages):
     _, before, after = stages[2]
     groups = {r["component_id"] for r in simhash.near_duplicates(before).collect()}
