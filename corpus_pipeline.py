@@ -34,7 +34,11 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of documents whose fingerprints are close.
+
+    The radius is that of ``op2_simhash``: copies whose fingerprints differ in more
+    than 4 bits, and that nothing in between links, all stay.
+    """
     return simhash.deduplicated(docs)
 
 
