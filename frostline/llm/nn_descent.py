@@ -14,7 +14,8 @@ name. Graph and beams are written tables after each round.
 
 Defined results
 * Null, zero, null-holding and non-finite vectors take no part, nor null ids, nor
-  vectors of another length than the longest.
+  vectors of another length than most ids have; of lengths equally frequent, the
+  longer counts.
 * Of several rows with one id, that with the least vector takes part.
 * A query never finds itself; with fewer candidates than asked for, it finds all
   that its walk reaches. Ties go to the smaller id.
@@ -55,10 +56,14 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = rows.where(F.col("id").isNotNull() & F.col("vec").isNotNull())
     rows = rows.where(~F.exists("vec", bad) & F.exists("vec", lambda x: x != 0))
-    rows = written(rows.groupBy("id").agg(F.min("vec").alias("vec")), "vectors")
-    span = rows.agg(F.min("id"), F.max("id"), F.max(F.size("vec"))).first()
-    low, high, longest = (x or 0 for x in span)
-    rows = rows.where(F.size("vec") == longest)
+    rows = rows.groupBy("id", F.size("vec").alias("length")).agg(F.min("vec").alias("vec"))
+    rows = written(rows, "vectors")
+    spans = rows.groupBy("length").agg(F.count("*").alias("ids"), F.min("id"), F.max("id"))
+    _, low, high, length = (
+        spans.orderBy(F.desc("ids"), F.desc("length")).select("ids", "min(id)", "max(id)", "length").first()
+        or (0, 0, 0, 0)
+    )
+    rows = rows.where(F.col("length") == length).drop("length")
     # A cell takes an equal part of the range of ids.
     width = max(1, -(-(high - low + 1) // CELLS))
     cell = F.expr(f"(cast(id as decimal(20,0)) - {low}) div {width}")
