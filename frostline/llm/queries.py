@@ -14,9 +14,11 @@ from frostline.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    resampling,
     sharding,
     simhash,
     token_files,
+    vector_codes,
     warc,
 )
 
@@ -112,6 +114,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1,
     "op2_simhash": op2,
@@ -123,14 +133,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8,
     "op9_quality_classifier": op9,
     "op10_token_files": op10,
+    "op11_resampling": op11,
+    "op13_vector_codes": op13,
 }
 
 # CRC-32 over the bytes of a text, from its own table of 256 remainders.
-_CRC = """crc_table AS (
+_CRC_TABLE = """crc_table AS (
   SELECT list(v ORDER BY i) AS t FROM (
     SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, k:
              CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) AS v
-    FROM (SELECT unnest(range(256)) AS i))),
+    FROM (SELECT unnest(range(256)) AS i)))"""
+
+_CRC = f"""{_CRC_TABLE},
 octets AS (
   SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 8 AS size,
          list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS b
@@ -169,6 +183,99 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN holder IS DISTINCT FROM page_id THEN holder END AS refers_to
 FROM held"""
 
+_RESAMPLED = rf"""WITH {_CRC_TABLE},
+texts AS (
+  SELECT 'raw' AS side, doc_id, text FROM documents UNION ALL SELECT 'target', NULL, text FROM benchmark),
+worded AS MATERIALIZED (
+  SELECT side, doc_id, row_number() OVER () AS row_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts),
+features AS MATERIALIZED (
+  SELECT side, row_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f
+  FROM worded),
+hashed AS MATERIALIZED (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(f)), '..'),
+                                                                    lambda x: ('0x' || x)::BIGINT)),
+                            lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295)
+            % {resampling.BUCKETS} AS bucket
+  FROM (SELECT DISTINCT f FROM features), crc_table),
+placed AS MATERIALIZED (SELECT side, row_id, bucket FROM features JOIN hashed USING (f)),
+counts AS (
+  SELECT bucket, count(*) FILTER (side = 'raw') AS s, count(*) FILTER (side = 'target') AS t
+  FROM placed GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor({resampling.SCALE} * ln(((t + 1)::DOUBLE * (all_s + {resampling.BUCKETS})::DOUBLE)
+                                       / ((s + 1)::DOUBLE * (all_t + {resampling.BUCKETS})::DOUBLE)))::BIGINT AS gain
+  FROM counts, (SELECT sum(s) AS all_s, sum(t) AS all_t FROM counts)),
+weights AS (
+  SELECT row_id, count(*) AS n_features, sum(gain)::BIGINT AS total
+  FROM placed JOIN gains USING (bucket) WHERE side = 'raw' GROUP BY row_id),
+scored AS (
+  SELECT doc_id, row_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+         coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) AS weight,
+         ('0x' || substr(sha256('{resampling.SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT AS h
+  FROM worded LEFT JOIN weights USING (row_id) WHERE side = 'raw'),
+noised AS (
+  SELECT *, weight + floor(-{resampling.SCALE} * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM scored),
+ranked AS (
+  SELECT *, n_words >= {resampling.LEAST_WORDS} AS enough,
+         row_number() OVER (PARTITION BY n_words >= {resampling.LEAST_WORDS}
+                            ORDER BY score DESC, doc_id NULLS LAST, n_features DESC, weight DESC) AS place,
+         count(*) OVER (PARTITION BY n_words >= {resampling.LEAST_WORDS}) AS n
+  FROM noised)
+SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score,
+       CASE WHEN enough AND place <= {resampling.PERCENT} * n // 100 THEN place END AS rank, n_words::BIGINT AS n_words
+FROM ranked"""
+
+
+def _codes_sql() -> str:
+    """Every round as a step of its own: nearest entries, then their floored means."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, vec_id, label,
+         list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""parts AS MATERIALIZED (
+  SELECT row_id, vec_id, p, v[p * len(v) // {vector_codes.PARTS} + 1 : (p + 1) * len(v) // {vector_codes.PARTS}] AS a
+  FROM kept, (SELECT unnest(range({vector_codes.PARTS})) AS p))""",
+        f"""book0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id NULLS LAST) - 1 AS e, a AS c
+  FROM parts QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id NULLS LAST) <= {vector_codes.ENTRIES})""",
+    ]
+    for k in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+  SELECT row_id, p, any_value(a) AS a, arg_min(e, (d, e)) AS e, min(d) AS d
+  FROM (SELECT row_id, p, a, e, list_dot_product(a, a) - 2 * list_dot_product(a, c) + list_dot_product(c, c) AS d
+        FROM parts JOIN book{k} USING (p))
+  GROUP BY row_id, p)""")
+        if k < vector_codes.ROUNDS:
+            steps.append(f"""book{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m, c) AS c
+  FROM book{k} LEFT JOIN (
+    SELECT p, e, list(m ORDER BY i) AS m
+    FROM (SELECT p, e, i, floor(sum(x) / count(*)) AS m
+          FROM (SELECT p, e, unnest(a) AS x, unnest(range(len(a))) AS i FROM near{k}) GROUP BY p, e, i)
+    GROUP BY p, e) USING (p, e))""")
+    last = vector_codes.ROUNDS
+    return f"""WITH {", ".join(steps)},
+summed AS (
+  SELECT row_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+  FROM near{last} GROUP BY row_id),
+total AS (
+  SELECT sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(c) AS x, unnest(range(len(c))) AS i FROM book{last}))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN summed USING (row_id), total"""
+
+
 # The others have no SQL: hashed counts, fitted weights, a parser, a tokenizer, a
 # graph walk, XXH64 and best fit. Tests hold them against brute force.
-ORACLE_SQL: dict[str, str] = {"op6_sharding": _SHARDS, "op8_warc": _WARC}
+ORACLE_SQL: dict[str, str] = {
+    "op6_sharding": _SHARDS,
+    "op8_warc": _WARC,
+    "op11_resampling": _RESAMPLED,
+    "op13_vector_codes": _codes_sql(),
+}
