@@ -18,6 +18,7 @@ from frostline.llm import (
     sharding,
     simhash,
     token_files,
+    toxicity,
     vector_codes,
     warc,
 )
@@ -118,6 +119,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
 
@@ -134,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9,
     "op10_token_files": op10,
     "op11_resampling": op11,
+    "op12_toxicity": op12,
     "op13_vector_codes": op13,
 }
 
