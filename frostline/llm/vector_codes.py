@@ -64,6 +64,7 @@ class Slices:
     entries: np.ndarray
     sorted: np.ndarray
     before: np.ndarray
+    whole: np.ndarray  # the mask of all entries
     radius: int
 
     @classmethod
@@ -76,16 +77,16 @@ class Slices:
             bits[np.arange(dims), place + 1, order[:, place]] = 1
         before = np.packbits(bits, axis=2, bitorder="little").view(np.uint64)
         coordinates = np.take_along_axis(entries.T, order, axis=1)
-        return cls(entries, np.ascontiguousarray(coordinates), before, _first_radius(entries))
+        whole = np.packbits(np.arange(bits.shape[2]) < n, bitorder="little").view(np.uint64)
+        return cls(entries, np.ascontiguousarray(coordinates), before, whole, _first_radius(entries))
 
     def within(self, points: np.ndarray, radius: np.ndarray) -> np.ndarray:
         """Masks of the entries that lie within the radius in every dimension."""
-        found = None
+        found = np.repeat(self.whole[None], len(points), axis=0)
         for d, coordinates in enumerate(self.sorted):
             low = np.searchsorted(coordinates, points[:, d] - radius, side="left")
             high = np.searchsorted(coordinates, points[:, d] + radius, side="right")
-            inside = self.before[d][high] ^ self.before[d][low]
-            found = inside if found is None else np.bitwise_and(found, inside, out=found)
+            found &= self.before[d][high] ^ self.before[d][low]
         return found
 
     def nearest(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -257,8 +258,10 @@ def refined(embeddings: DataFrame, codebooks: list[np.ndarray], *, vector_col: s
 
 def fit(embeddings: DataFrame, *, id_col: str, vector_col: str, entries: int = ENTRIES, rounds: int = ROUNDS) -> list[np.ndarray]:
     dimensions = usual_length(embeddings, vector_col)
+    if not dimensions:
+        return [np.zeros((0, 0), dtype=np.int64)] * PARTS
     codebooks = first_codebooks(embeddings, dimensions, id_col=id_col, vector_col=vector_col, entries=entries)
-    for _ in range(rounds if dimensions else 0):
+    for _ in range(rounds):
         codebooks = refined(embeddings, codebooks, vector_col=vector_col)
     return codebooks
 
@@ -278,7 +281,7 @@ def encoded(embeddings: DataFrame, codebooks: list[np.ndarray], *, id_col: str,
     kept_fields = [f for f in rows.schema.fields if f.name != "vector"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        books = [Slices.of(c) for c in shared.value]
+        books = [Slices.of(c) for c in shared.value] if dimensions else []
         for batch in batches:
             for block, good, usual, whole in _blocks(batch, dimensions):
                 codes = np.zeros((len(whole), len(books)), dtype=np.uint8)
