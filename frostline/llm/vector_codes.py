@@ -41,6 +41,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from frostline.llm.common import written
+
 PARTS = 4
 ENTRIES = 256
 ROUNDS = 4
@@ -320,6 +322,7 @@ def vector_codes(
         raise ValueError("a codebook has 1 to 256 entries")
     codebooks = fit(embeddings, id_col=id_col, vector_col=vector_col, entries=entries, rounds=rounds)
     codes = encoded(embeddings, codebooks, id_col=id_col, vector_col=vector_col, label_col=label_col)
+    codes = written(codes, "codes")  # read twice below
     total = F.sum(F.col("error").cast("decimal(20,0)")).try_cast("bigint")
     by_label = codes.groupBy("label").agg(total.alias("label_error"))
     # A label may have any share of the rows: its sum is copied, its rows are dealt out.
