@@ -3,9 +3,10 @@
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from frostline.operators.previous import bucket_of
 from frostline.schema import READING_COLUMNS, READING_SCHEMA
 from frostline.session import scratch_dir, stream_session
 from frostline.sources.events import read_readings
@@ -20,6 +21,10 @@ END_TIME = datetime(2200, 1, 1, tzinfo=timezone.utc)
 # Micro-batches hold about so many readings, but there are always a few.
 BATCH_ROWS = 1_000_000
 LEAST_BATCHES = 4
+# Files of a micro-batch hold about so many, so that several tasks write and read it.
+FILE_ROWS = 250_000
+# Readings of one such span of time stay in one micro-batch.
+COUNTED_MS = 100
 
 
 def end_marker(spark: SparkSession) -> DataFrame:
@@ -29,61 +34,86 @@ def end_marker(spark: SparkSession) -> DataFrame:
 
 
 def write_slices(readings: DataFrame, path: str, late: Column | None = None) -> int:
-    """Readings as one file for each slice of time, in order, then the end marker.
+    """Readings as some files for each slice of time, in order, then the end marker.
 
-    Slices are equally long. Readings of the first one that are ``late`` come
-    with the last one instead. Files are written one after the other, since a
-    stream takes them in the order of their times of writing.
+    Slices have about as many readings each, by counts of short spans of time, so
+    neither a busy hour nor a time far off makes a large one. Readings of the first
+    one that are ``late`` come with the last one instead. Slices are written one
+    after the other, since a stream takes files in the order of their times of
+    writing. Returns how many files a micro-batch takes.
     """
-    low, high, rows = readings.agg(F.min("time_ms"), F.max("time_ms"), F.count("*")).first()
+    span = bucket_of(F.col("time_ms"), COUNTED_MS)
+    counts = readings.groupBy(span.alias("span_")).agg(F.count("*").alias("n"))
+    rows = counts.agg(F.sum("n")).first()[0] or 0
     slices = max(LEAST_BATCHES, -(-rows // BATCH_ROWS))
+    files = max(1, -(-rows // (slices * FILE_ROWS)))
     if rows:
-        own = F.call_function("div", (F.col("time_ms") - low) * slices, F.lit(high - low + 1))
-        is_late = F.lit(False) if late is None else F.coalesce(late, F.lit(False)) & (own == 0)
-        placed = readings.withColumn("slice_", F.when(is_late, slices - 1).otherwise(own))
+        # A row for each span of time, whatever the number of readings.
+        earlier = Window.orderBy("span_").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+        own = counts.select("span_", F.call_function("div", before * slices, F.lit(rows)).alias("own_"))
+        placed = readings.withColumn("span_", span).join(own, "span_")
+        is_late = F.lit(False) if late is None else F.coalesce(late, F.lit(False)) & (F.col("own_") == 0)
+        placed = placed.withColumn("slice_", F.when(is_late, slices - 1).otherwise(F.col("own_")))
         for n in range(slices):
             part = placed.where(F.col("slice_") == n).select(*READING_COLUMNS)
-            part.coalesce(1).write.mode("append").parquet(path)
+            part = part.coalesce(1) if files == 1 else part.repartition(files)
+            part.write.mode("append").parquet(path)
     end_marker(readings.sparkSession).coalesce(1).write.mode("append").parquet(path)
-    return slices
+    return files
 
 
-def events_stream(session: SparkSession, sf_dir: str, folder: str, late: Column | None = None) -> DataFrame:
-    """The ``events`` table as time-ordered micro-batches, and its end marker.
-
-    ``late`` is a condition on ``event_type`` and the columns of a reading.
-    """
-    readings = read_readings(session, sf_dir, event_type=F.col("event_type"))
-    write_slices(readings, f"{folder}/readings", late)
-    return replay_stream(session, f"{folder}/readings", READING_SCHEMA, files_per_trigger=1)
+def event_readings(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
+    """The ``events`` table; with ``copies``, of so many times the devices."""
+    readings = read_readings(spark, sf_dir, event_type=F.col("event_type"))
+    if copies == 1:
+        return readings
+    numbered = readings.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    return numbered.withColumn("device_id", F.concat("device_id", F.lit("-"), "copy_")).drop("copy_")
 
 
-def run_over_events(
-    spark: SparkSession,
-    sf_dir: str,
+def run_over(
+    readings: DataFrame,
     result: Callable[[DataFrame], DataFrame],
     name: str,
     late: Column | None = None,
 ) -> DataFrame:
-    """Stream ``events`` through ``result`` to the end; returns what it wrote.
+    """Stream readings through ``result`` to the end; returns what it wrote.
 
     The end marker is left out on reading. As part of the stream, that filter
     would be pushed below the watermark and nothing would close.
     """
-    session = stream_session(spark)
+    spark = readings.sparkSession
     folder = scratch_dir(spark, name)
-    out = result(events_stream(session, sf_dir, folder, late))
-    query = append_files(out, folder, "out", available_now=True)
-    query.awaitTermination()
+    files = write_slices(readings, f"{folder}/readings", late)
+    stream = replay_stream(stream_session(spark), f"{folder}/readings", READING_SCHEMA, files_per_trigger=files)
+    out = result(stream)
+    append_files(out, folder, "out", available_now=True).awaitTermination()
     written = spark.read.schema(out.schema).parquet(f"{folder}/out")
     return written.where(F.col("device_id") != END_DEVICE)
 
 
-def run_all_over_events(spark: SparkSession, sf_dir: str, name: str, efficiency: str = "delta") -> str:
+def run_over_events(
+    spark: SparkSession,
+    sf_dir: str,
+    result: Callable[[DataFrame], DataFrame],
+    name: str,
+    late: Column | None = None,
+    copies: int = 1,
+) -> DataFrame:
+    """The same over the ``events`` table, of ``copies`` times its devices."""
+    return run_over(event_readings(spark, sf_dir, copies), result, name, late)
+
+
+def run_all_over_events(
+    spark: SparkSession, sf_dir: str, name: str, efficiency: str = "delta", copies: int = 1
+) -> str:
     """Every query of :func:`run_streams` over ``events``; returns their folder."""
     session = stream_session(spark)
     folder = scratch_dir(spark, name)
-    messages = encode(events_stream(session, sf_dir, folder))
+    files = write_slices(event_readings(spark, sf_dir, copies), f"{folder}/readings")
+    stream = replay_stream(session, f"{folder}/readings", READING_SCHEMA, files_per_trigger=files)
+    messages = encode(stream)
     streams = run_streams(session, lambda _: messages, folder, available_now=True, efficiency=efficiency)
     for query in streams:
         query.awaitTermination()

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from frostline.operators.defrost import defrost_events
 from frostline.operators.pattern import PAIR_COLUMNS, door_alerts, matching, temp_rises
 from frostline.operators.status import as_changes, efficiency_changes
-from frostline.operators.work import work_windows_expanded
 from frostline.schema import PATTERN_WITHIN_MS
 from frostline.streaming.efficiency import efficiency_delta_stream, efficiency_rolling_stream
 from frostline.streaming.previous import WATERMARK_DELAY, with_event_time, with_previous_stream
+from frostline.streaming.windows import BUCKET_SLIDES, closed_panes, windows_of_panes
 
 
 def rising_pairs_stream(
@@ -28,9 +28,16 @@ def door_stream(readings: DataFrame, delay: str = WATERMARK_DELAY, groups: int |
     return door_alerts(rising_pairs_stream(readings, delay=delay, groups=groups))
 
 
-def windows_stream(readings: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    """Windows come out once, when the watermark has passed their end."""
-    return work_windows_expanded(with_event_time(readings, delay))
+def windows_stream(
+    readings: DataFrame, delay: str = WATERMARK_DELAY, bucket_slides: int = BUCKET_SLIDES
+) -> DataFrame:
+    """Windows come out once, when the watermark has passed their bucket.
+
+    A reading is late for all windows once its own slide has closed. The form
+    without panes is :func:`frostline.operators.work.work_windows_expanded`, whose
+    windows come out at their end and take late readings until then.
+    """
+    return windows_of_panes(closed_panes(with_event_time(readings, delay)), bucket_slides=bucket_slides)
 
 
 EFFICIENCIES = {"delta": efficiency_delta_stream, "rolling": efficiency_rolling_stream}

@@ -20,6 +20,13 @@ def with_event_time(readings: DataFrame, delay: str = WATERMARK_DELAY) -> DataFr
     return readings.withWatermark("ts", delay)
 
 
+def groups_of(stream: DataFrame, groups: int | None = None) -> int:
+    """Groups of devices that state is keyed by: some for each shuffle partition."""
+    if groups is not None:
+        return groups
+    return GROUPS_PER_PARTITION * int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 # Pandas types of the values state can hold.
 _PANDAS = {T.DoubleType(): "float64", T.LongType(): "int64", T.BooleanType(): "bool"}
 
@@ -115,9 +122,7 @@ def with_previous_stream(
     checkpoint is tied to the number of groups, as it is to the session's shuffle
     partitions; the default is some groups for each of those.
     """
-    if groups is None:
-        shuffled = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        groups = GROUPS_PER_PARTITION * shuffled
+    groups = groups_of(readings, groups)
     base = readings.select("device_id", "time_ms", "ts", "seq", *columns)
     placed = with_carried(base, within_ms, bucket_ms).withColumn(
         GROUP, F.pmod(F.xxhash64("device_id"), F.lit(groups))

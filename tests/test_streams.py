@@ -6,6 +6,7 @@ import pytest
 from helpers import readings, tuples
 from pyspark.sql import functions as F
 
+from frostline.operators.efficiency import efficiency_delta, efficiency_rolling
 from frostline.operators.pattern import door_alerts, rising_pairs
 from frostline.operators.status import fold_status
 from frostline.operators.work import work_windows
@@ -59,12 +60,63 @@ def test_door_alerts_with_ties_late_rows_and_a_restart(spark):
 def test_windows_over_several_batches(spark):
     all_ = random_readings(spark, n=120, seed=2)
     folder = scratch_dir(spark, "windows")
-    assert bounded.write_slices(all_, f"{folder}/readings") == bounded.LEAST_BATCHES
+    assert bounded.write_slices(all_, f"{folder}/readings") == 1
     got = streamed(spark, f"{folder}/readings", feeds.windows_stream, folder)
     columns = ["device_id", "window_end_ms", "temp", "work"]
     assert tuples(got, *columns) == tuples(work_windows(all_), *columns)
 
 
+@pytest.mark.parametrize("bucket_slides", [1, 7, 10, 45])
+def test_windows_by_panes_of_any_bucket(spark, bucket_slides):
+    all_ = random_readings(spark, n=80, seed=bucket_slides)
+    got = bounded.run_over(all_, lambda r: feeds.windows_stream(r, bucket_slides=bucket_slides), "buckets")
+    columns = ["device_id", "window_end_ms", "temp", "work"]
+    assert tuples(got, *columns) == tuples(work_windows(all_), *columns)
+
+
+def test_state_holds_panes_and_not_readings_of_every_window(spark):
+    rows = [("ab"[n % 2], T0 + n * 20, n % 7, 0.1) for n in range(2000)]  # 25 readings in a pane
+    folder = scratch_dir(spark, "panes")
+    all_ = readings(spark, rows)
+    bounded.write_slices(all_, f"{folder}/readings")
+    session = stream_session(spark)
+    out = feeds.windows_stream(replay_stream(session, f"{folder}/readings", READING_SCHEMA))
+    query = append_files(out, folder, "out", available_now=True)
+    query.awaitTermination()
+    updated = sum(o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"])
+    panes = len({(d, t // 1000) for d, t, *_ in rows})
+    assert 0 < updated < 6 * panes
+    got = spark.read.schema(out.schema).parquet(f"{folder}/out").where(F.col("device_id") != bounded.END_DEVICE)
+    columns = ["device_id", "window_end_ms", "temp", "work"]
+    assert tuples(got, *columns) == tuples(work_windows(all_), *columns)
+
+
+def test_efficiency_carries_over_gaps_between_batches(spark):
+    """A device that is silent for minutes goes on from its last window."""
+    rows = [("a", T0 + t, n % 5, 0.2) for n, t in enumerate([0, 500, 400_000, 401_000, 900_000])]
+    rows += [("b", T0 + t, n % 3, 0.0 if n == 1 else 0.5) for n, t in enumerate([100, 200_000, 300_000, 900_500])]
+    all_ = readings(spark, rows)
+    columns = ["device_id", "window_end_ms", "efficiency"]
+    for stream, batch in ((feeds.efficiency_stream, efficiency_delta), (rolling, efficiency_rolling)):
+        got = bounded.run_over(all_, stream, "gaps")
+        want = batch(work_windows(all_)).where(F.col("efficiency").isNotNull())
+        assert tuples(got.where("efficiency IS NOT NULL"), *columns) == tuples(want, *columns)
+        assert got.count() == batch(work_windows(all_)).count()
+
+
+def rolling(stream):
+    return feeds.efficiency_stream(stream, efficiency="rolling")
+
+
+def test_slices_have_alike_counts_whatever_the_times(spark):
+    rows = [("a", T0 + n * 10, 1, 1) for n in range(4000)] + [("a", T0 - 10**9, 1, 1), ("a", T0 + 10**10, 1, 1)]
+    folder = scratch_dir(spark, "slices")
+    bounded.write_slices(readings(spark, rows), folder)
+    counts = spark.read.schema(READING_SCHEMA).parquet(folder).groupBy(F.input_file_name()).count().collect()
+    sizes = sorted(r["count"] for r in counts)
+    assert sum(sizes) == 4003 and sizes[0] == 1 and sizes[-1] < 1100
+
+
 def test_a_replayed_batch_of_changes_leaves_no_trace(spark):
     kind = "device_id string, door_open boolean, defrosted boolean, efficiency double, time_ms long, seq long"
     path = scratch_dir(spark, "changes")
