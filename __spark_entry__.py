@@ -9,8 +9,15 @@ from pyspark.sql import functions as F
 
 from frostline.functions import float32_millis
 from frostline.operators.defrost import defrost_events, defrosted_devices
-from frostline.operators.efficiency import efficiency_delta, efficiency_rolling
-from frostline.operators.latency import latency_summary
+from frostline.operators.efficiency import efficiency_delta, efficiency_rolling, efficiency_rolling_scan
+from frostline.operators.latency import (
+    QUANTILES,
+    SKETCH_RANK_ERROR,
+    latency_sketch,
+    latency_summary,
+    merged_latency,
+)
+from frostline.operators.order import backward_counts, backward_readings
 from frostline.operators.pattern import door_alerts, door_severity, rising_pairs
 from frostline.operators.status import status_changes, status_table
 from frostline.operators.timeline import (
@@ -32,7 +39,7 @@ from frostline.sources.tables import (
     write_changes,
     write_timeline,
 )
-from frostline.streaming import bounded, feeds
+from frostline.streaming import bounded, feeds, series, shared
 from frostline.streaming.efficiency import efficiency_rolling_stream
 
 try:  # the training-data package may be left out
@@ -48,6 +55,12 @@ STATUS_PAGE_ROWS = 1000
 # Small enough to bind: fewer values than a device has, fewer devices than there are.
 SHORT_SPARKLINE = 5
 HOT_THRESHOLD = 9.5
+UNKNOWN_DEVICE = "no such device"
+# Enough energy for the rolling recurrence to be stable, and buckets that cut its history.
+STABLE_SCALE = 100
+SCAN_BUCKET_MS = 20_000
+SKETCH_SPAN_MS = 10_000
+BACKWARD_MS = 5_000
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -205,9 +218,82 @@ def _chart_points(spark, sf_dir):
 
 
 def _latency(spark, sf_dir):
+    return latency_summary(_delays(spark, sf_dir))
+
+
+def _delays(spark, sf_dir):
     delay = F.get_json_object("props", "$.k").cast("bigint") * 10
     r = read_readings(spark, sf_dir, delay=delay)
-    return latency_summary(r.withColumn("ingest_ms", F.col("time_ms") + F.col("delay")))
+    return r.withColumn("ingest_ms", F.col("time_ms") + F.col("delay"))
+
+
+def _latency_merged(spark, sf_dir):
+    """Sketches of short spans, merged; each quantile against the exact ranks."""
+    readings = _delays(spark, sf_dir)
+    span = F.call_function("div", F.col("time_ms"), F.lit(SKETCH_SPAN_MS))
+    merged = merged_latency(latency_sketch(readings, span.alias("span")))
+    held = merged.first()
+    if held is None:
+        return merged.select(F.lit(0.5).alias("quantile"), "readings", "min_ms", "max_ms", "mean_ms",
+                             F.lit(True).alias("within_bound"))
+    delay = F.col("ingest_ms") - F.col("time_ms")
+    judged = []
+    for q in QUANTILES:
+        found = held[f"p{round(q * 100)}_ms"]
+        low, high = F.avg((delay < found).cast("int")), F.avg((delay <= found).cast("int"))
+        near = (low <= q + SKETCH_RANK_ERROR) & (high >= q - SKETCH_RANK_ERROR)
+        judged.append(near.alias(f"near_{round(q * 100)}"))
+    exact = [F.struct(F.lit(q).alias("quantile"), F.col(f"near_{round(q * 100)}").alias("within_bound")) for q in QUANTILES]
+    facts = [F.lit(held[c]).alias(c) for c in ("readings", "min_ms", "max_ms", "mean_ms")]
+    return readings.agg(*judged).select(*facts, F.inline(F.array(*exact)))
+
+
+def _rolling_scan(spark, sf_dir):
+    r = read_readings(spark, sf_dir).withColumn("kw", F.col("kw") * STABLE_SCALE)
+    scanned = efficiency_rolling_scan(work_windows(r), SCAN_BUCKET_MS)
+    return scanned.withColumn("efficiency", F.round("efficiency", 6))
+
+
+def _one_payloads(spark, sf_dir):
+    """What the API answers for a device, and for one that it does not know."""
+    status, readings = _status(spark, sf_dir), read_readings(spark, sf_dir)
+    asked = []
+    for device in (ONE_DEVICE, UNKNOWN_DEVICE):
+        for name, rows, fields in (
+            ("status", views.one_status(status, device), STATUS_JSON),
+            ("timeline", views.latest_reading(readings, device), TIMELINE_JSON),
+        ):
+            page = views.one_payload(rows, name)
+            items = F.from_json("json", f"{name} array<struct<{fields}>>")[name]
+            asked.append(page.select(F.lit(device).alias("asked"), F.lit(name).alias("view"),
+                                     F.size(items).cast("bigint").alias("items"),
+                                     F.get(items, 0)["deviceID"].alias("deviceID")))
+    return asked[0].unionByName(asked[1]).unionByName(asked[2]).unionByName(asked[3])
+
+
+def _disordered(spark, sf_dir):
+    """Readings of one event type bear a time some seconds back."""
+    r = read_readings(spark, sf_dir, event_type=F.col("event_type"))
+    back = F.when(F.col("event_type") == "error", BACKWARD_MS).otherwise(0)
+    return r.withColumn("time_ms", F.col("time_ms") - back).withColumn("ts", F.timestamp_millis("time_ms"))
+
+
+def _backward_times(spark, sf_dir):
+    return backward_counts(backward_readings(_disordered(spark, sf_dir)))
+
+
+def _stream_backward_times(spark, sf_dir):
+    found = bounded.run_over(_disordered(spark, sf_dir), series.backward_stream, "stream-backward", by="seq")
+    return backward_counts(found)
+
+
+def _stream_sparkline(column):
+    def query(spark, sf_dir):
+        readings = read_readings(spark, sf_dir)
+        updates = bounded.run_updates(readings, lambda r: series.sparkline_stream(r, column), "stream-sparkline")
+        return series.latest_series(updates)
+
+    return query
 
 
 # --- streams, run to their end ---------------------------------------------
@@ -233,6 +319,21 @@ def _stream_status(spark, sf_dir):
     return status.where(F.col("device_id") != bounded.END_DEVICE)
 
 
+def _stream_shared_timeline(spark, sf_dir):
+    folder = bounded.run_shared_over_events(spark, sf_dir, "stream-shared")
+    stored = read_timeline(spark, f"{folder}/{shared.TIMELINE}", ttl_seconds=None).drop("ts", "ingest_ts")
+    return stored.where(F.col("device_id") != bounded.END_DEVICE)
+
+
+def _stream_latency(spark, sf_dir):
+    """Readings that the running stream's own sketches of delay have counted."""
+    folder = bounded.run_shared_over_events(spark, sf_dir, "stream-latency")
+    found = shared.read_latency(spark, folder)
+    rising = (F.col("min_ms") <= F.col("p50_ms")) & (F.col("p50_ms") <= F.col("p95_ms")) & (F.col("p95_ms") <= F.col("p99_ms"))
+    # The end marker is a reading too.
+    return found.select((F.col("readings") - 1).alias("readings"), rising.alias("in_order"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return _sensor_queries() | _llm_queries()
 
@@ -300,6 +401,15 @@ def _sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sparkline_short": lambda s, d: views.sparkline(read_readings(s, d), "temp", length=SHORT_SPARKLINE),
         "running_extremes": lambda s, d: running_extremes(read_readings(s, d), "temp"),
         "latency_summary": _latency,
+        "latency_merged": _latency_merged,
+        "efficiency_rolling_scan": _rolling_scan,
+        "one_payloads": _one_payloads,
+        "backward_times": _backward_times,
+        "stream_backward_times": _stream_backward_times,
+        "stream_sparkline_temp": _stream_sparkline("temp"),
+        "stream_sparkline_kw": _stream_sparkline("kw"),
+        "stream_shared_timeline": _stream_shared_timeline,
+        "stream_latency": _stream_latency,
         "stream_defrost": _stream(defrost_events, "stream-defrost"),
         "stream_door_alerts": _stream(feeds.door_stream, "stream-door"),
         "stream_work_windows": lambda s, d: _stream(feeds.windows_stream, "stream-work")(s, d).drop(
@@ -447,6 +557,15 @@ def _sensor_oracle_sql() -> dict[str, str]:
     status_view = _with(_ALL_STATUS, _STATUS_VIEW)
     timeline = _with((_READINGS, _TIMELINE), f"SELECT {_READING_COLUMNS} FROM timeline")
     one = f"WHERE device_id = '{ONE_DEVICE}'"
+    backward = _with(
+        (_READINGS,),
+        f"""SELECT device_id, count(*) AS backward, max(greatest_ms - at_ms) AS farthest_ms
+            FROM (SELECT device_id, at_ms, max(at_ms) OVER (PARTITION BY device_id ORDER BY seq
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS greatest_ms
+                  FROM (SELECT device_id, seq, time_ms - CASE event_type WHEN 'error' THEN {BACKWARD_MS} ELSE 0 END AS at_ms
+                        FROM readings))
+            WHERE at_ms < greatest_ms GROUP BY device_id""",
+    )
     http_view = _TIMELINE_VIEW.format(time=_HTTP_DATE)
     return {
         "readings": plain,
@@ -547,6 +666,32 @@ def _sensor_oracle_sql() -> dict[str, str]:
                       quantile_cont(delay::double, 0.95) AS p95_ms,
                       quantile_cont(delay::double, 0.99) AS p99_ms FROM readings""",
         ),
+        "latency_merged": _with(
+            (_READINGS,),
+            f"""SELECT q.quantile, count(*) AS readings, min(delay) AS min_ms, max(delay) AS max_ms,
+                      sum(delay)::double / count(*) AS mean_ms, true AS within_bound
+               FROM readings, (SELECT unnest([{", ".join(f"{q}::DOUBLE" for q in QUANTILES)}]) AS quantile) q
+               GROUP BY q.quantile""",
+        ),
+        "efficiency_rolling_scan": _with(
+            (_READINGS.replace("/3600.0::double AS kw", f"/3600.0::double * {STABLE_SCALE} AS kw"), _WINDOWS, _ROLLING),
+            "SELECT device_id, window_end_ms, round(100 * acc, 6) AS efficiency FROM rolling",
+            recursive=True,
+        ),
+        "one_payloads": _with(
+            (_READINGS,),
+            f"""SELECT asked, view, count(device_id) AS items, any_value(device_id) AS "deviceID"
+                FROM (SELECT unnest(['{ONE_DEVICE}', '{UNKNOWN_DEVICE}']) AS asked) a,
+                     (SELECT unnest(['status', 'timeline']) AS view) v
+                LEFT JOIN (SELECT DISTINCT device_id FROM readings) r ON device_id = asked
+                GROUP BY asked, view""",
+        ),
+        "backward_times": backward,
+        "stream_backward_times": backward,
+        "stream_sparkline_temp": _sparkline_sql("temp"),
+        "stream_sparkline_kw": _sparkline_sql("kw"),
+        "stream_shared_timeline": timeline,
+        "stream_latency": _with((_READINGS,), "SELECT count(*) AS readings, true AS in_order FROM readings"),
         "stream_defrost": defrost,
         "stream_door_alerts": door,
         "stream_work_windows": windows,

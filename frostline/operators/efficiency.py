@@ -83,3 +83,111 @@ def efficiency_rolling(windows: DataFrame) -> DataFrame:
     together = windows.select("device_id", "window_end_ms", "temp", "work").repartition("device_id")
     ordered = together.sortWithinPartitions("device_id", "window_end_ms")
     return ordered.groupBy("device_id").applyInArrow(_fold_batches, EFFICIENCY_SCHEMA)
+
+
+# --- the same as a scan ---------------------------------------------------------
+#
+# A step e -> (e - temp) / work is an affine map, and maps one after the other are
+# one map again. So a bucket of windows is one map, a pass over a device's maps gives
+# the value each bucket starts from, and buckets are then folded apart.
+
+_MAP_SCHEMA = f"device_id string, {BUCKET} bigint, opened double, scale double, shift double"
+_START_SCHEMA = f"device_id string, {BUCKET} bigint, has_start boolean, start double"
+
+
+def _runs(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    return zip(*(batch.column(c).to_pylist() for c in columns))
+
+
+def _bucket_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each bucket, what it makes of a value (``scale``, ``shift``), and of none (``opened``).
+
+    NULL stands for a bucket after which there is no value any more.
+    """
+    names = ["device_id", BUCKET, "opened", "scale", "shift"]
+    key, held = None, None
+    for batch in batches:
+        done = []
+        for device, bucket, temp, work in _runs(batch, "device_id", BUCKET, "temp", "work"):
+            if (device, bucket) != key:
+                if key is not None:
+                    done.append((*key, *held))
+                key, opened, scale, shift = (device, bucket), temp, 1.0, 0.0
+            else:
+                opened, scale, shift = fold_step(held[0], temp, work), held[1], held[2]
+            if scale is None or not work or temp is None:
+                scale = shift = None
+            else:
+                scale, shift = scale / work, (shift - temp) / work
+            held = (opened, scale, shift)
+        yield _record_batch(done, names, _MAP_TYPES)
+    if key is not None:
+        yield _record_batch([(*key, *held)], names, _MAP_TYPES)
+
+
+def _bucket_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The value each bucket starts from, by the maps of the device's buckets before it."""
+    names = ["device_id", BUCKET, "has_start", "start"]
+    last, value = None, None
+    for batch in batches:
+        starts = []
+        for device, bucket, opened, scale, shift in _runs(batch, "device_id", BUCKET, "opened", "scale", "shift"):
+            begins = device != last
+            starts.append((device, bucket, not begins, None if begins else value))
+            if begins:
+                value = opened
+            elif value is None or scale is None:
+                value = None
+            else:
+                # A bucket that forgets what it starts from does so also of an infinite value.
+                value = scale * value + shift if scale else shift
+            last = device
+        yield _record_batch(starts, names, _START_TYPES)
+
+
+def _bucket_folds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    key, acc = None, None
+    for batch in batches:
+        folded = []
+        rows = _runs(batch, "device_id", BUCKET, "temp", "work", "has_start", "start")
+        for device, bucket, temp, work, has_start, start in rows:
+            if (device, bucket) != key:
+                key = (device, bucket)
+                acc = fold_step(start, temp, work) if has_start else temp
+            else:
+                acc = fold_step(acc, temp, work)
+            folded.append(None if acc is None else EFFICIENCY_SCALE * acc)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("device_id"), batch.column("window_end_ms"), pa.array(folded, pa.float64())],
+            ["device_id", "window_end_ms", "efficiency"],
+        )
+
+
+_MAP_TYPES = [pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+_START_TYPES = [pa.string(), pa.int64(), pa.bool_(), pa.float64()]
+
+
+def _record_batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+
+def efficiency_rolling_scan(windows: DataFrame, bucket_ms: int = WINDOWS_BUCKET_MS) -> DataFrame:
+    """A3 without a task for a whole device: buckets of windows are folded apart.
+
+    Equals :func:`efficiency_rolling` up to rounding where the recurrence is stable,
+    that is where windows have more than one unit of work: 1e-9 of the larger of the
+    value and one. Elsewhere it grows without bound, and with it what rounding
+    leaves; there only the fold in order gives its exact numbers. A task holds no
+    more than a batch of windows; one row for each bucket is ordered by device.
+    """
+    keys = ["device_id", BUCKET]
+    placed = windows.select("device_id", "window_end_ms", "temp", "work").withColumn(
+        BUCKET, bucket_of(F.col("window_end_ms"), bucket_ms)
+    )
+    ordered = placed.repartition(*keys).sortWithinPartitions(*keys, "window_end_ms")
+    maps = ordered.mapInArrow(_bucket_maps, _MAP_SCHEMA)
+    by_device = maps.repartition("device_id").sortWithinPartitions(*keys)
+    starts = by_device.mapInArrow(_bucket_starts, _START_SCHEMA)
+    started = placed.join(starts, keys).repartition(*keys).sortWithinPartitions(*keys, "window_end_ms")
+    return started.mapInArrow(_bucket_folds, EFFICIENCY_SCHEMA)

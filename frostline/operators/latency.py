@@ -1,6 +1,6 @@
 """Delay from event to ingest."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frostline.operators.previous import BUCKET, bucket_of
@@ -63,12 +63,39 @@ def latency_summary(readings: DataFrame, bucket_ms: int = DELAY_BUCKET_MS) -> Da
     return summed.select("readings", "min_ms", "max_ms", "mean_ms", *quantiles)
 
 
-def observe_latency(stream: DataFrame, name: str = "latency") -> DataFrame:
-    """Report each micro-batch's delays in its progress, as a side effect."""
-    delay = F.unix_millis(F.current_timestamp()) - F.col("time_ms")
-    return stream.observe(
-        name,
-        F.count(F.lit(1)).alias("readings"),
+# Size of a sketch; the rank of what it gives is then off by about half the bound.
+SKETCH_K = 400
+SKETCH_RANK_ERROR = 0.0133
+
+SKETCH_COLUMNS = ["readings", "min_ms", "max_ms", "sum_ms", "sketch"]
+
+
+def latency_sketch(readings: DataFrame, *by: Column | str) -> DataFrame:
+    """Delays as a KLL sketch with exact counts beside it; needs ``ingest_ms``.
+
+    A row for each value of ``by``, or one for all. Sketches of micro-batches, or
+    of any spans, are put together by :func:`merged_latency`.
+    """
+    delay = F.col("ingest_ms") - F.col("time_ms")
+    return readings.groupBy(*by).agg(
+        F.count(delay).alias("readings"),
+        F.min(delay).alias("min_ms"),
         F.max(delay).alias("max_ms"),
-        F.avg(delay).alias("mean_ms"),
+        F.sum(delay).alias("sum_ms"),
+        F.kll_sketch_agg_bigint(delay, SKETCH_K).alias("sketch"),
+    )
+
+
+def merged_latency(sketches: DataFrame, *by: Column | str) -> DataFrame:
+    """Quantiles over many sketches, each within ``SKETCH_RANK_ERROR`` of its rank."""
+    held = sketches.where(F.col("readings") > 0)
+    merged = held.groupBy(*by).agg(
+        F.sum("readings").alias("readings"),
+        F.min("min_ms").alias("min_ms"),
+        F.max("max_ms").alias("max_ms"),
+        (F.sum("sum_ms") / F.sum("readings")).alias("mean_ms"),
+        F.kll_merge_agg_bigint("sketch", SKETCH_K).alias("sketch"),
     )
+    at = [F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias(f"p{round(q * 100)}_ms") for q in QUANTILES]
+    found = merged.where(F.col("readings") > 0)
+    return found.select(*by, "readings", "min_ms", "max_ms", "mean_ms", *at)

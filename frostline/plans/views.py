@@ -96,6 +96,16 @@ def json_pages(rows: DataFrame, name: str, page_rows: int) -> DataFrame:
     )
 
 
+def one_payload(rows: DataFrame, name: str) -> DataFrame:
+    """V4: the payload ``{name: [...]}`` of a request for one device, always one row.
+
+    The list is empty for an unknown device. For views of a single device, which
+    have at most one row; a whole fleet is served by :func:`json_pages`.
+    """
+    listed = rows.agg(F.sort_array(F.collect_list(_json_object(rows))).alias(name))
+    return listed.select(to_json_text(F.struct(name)).alias("json"))
+
+
 def status_panel(status: DataFrame) -> DataFrame:
     """V5: door and defrost as words."""
     return status.select(

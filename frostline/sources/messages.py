@@ -76,6 +76,11 @@ def decode(
     ``PERMISSIVE`` leaves bad messages out, to be read with :func:`quarantine`.
     ``FAILFAST`` ends the job at the first bad one.
     """
+    return accepted(parse(messages, value, (seq,)), seq, mode, time_precision)
+
+
+def accepted(parsed: DataFrame, seq: str = "seq", mode: str = "PERMISSIVE", time_precision: str = "exact") -> DataFrame:
+    """readings of messages that :func:`parse` has decoded; see :func:`decode`."""
     if mode not in ("PERMISSIVE", "FAILFAST"):
         raise ValueError(f"mode must be 'PERMISSIVE' or 'FAILFAST', not {mode!r}")
     good = ~_is_bad()
@@ -84,7 +89,7 @@ def decode(
         refusal = F.raise_error(F.concat(F.lit("bad reading: "), shown)).cast("boolean")
         good = F.when(good, F.lit(True)).otherwise(refusal)
     time_ms = _time_ms(time_precision)
-    return parse(messages, value, (seq,)).where(good).select(
+    return parsed.where(good).select(
         _field(S.JSON_DEVICE_ID).alias("device_id"),
         time_ms.alias("time_ms"),
         event_timestamp(time_ms).alias("ts"),
@@ -98,12 +103,13 @@ def decode(
 
 def quarantine(messages: DataFrame, value: str = "value", seq: str = "seq") -> DataFrame:
     """S3: the messages :func:`decode` leaves out, whole, with a reason."""
+    return rejected(parse(messages, value, (seq,)), seq)
+
+
+def rejected(parsed: DataFrame, seq: str = "seq") -> DataFrame:
+    """S3: those among messages that :func:`parse` has decoded; see :func:`quarantine`."""
     reason = F.when(_malformed(), F.lit("malformed")).otherwise(F.lit("unusable field"))
-    return (
-        parse(messages, value, (seq,))
-        .where(_is_bad())
-        .select(F.col(seq).alias("seq"), "value", reason.alias("reason"))
-    )
+    return parsed.where(_is_bad()).select(F.col(seq).alias("seq"), "value", reason.alias("reason"))
 
 
 def encode(readings: DataFrame, *keep: str) -> DataFrame:

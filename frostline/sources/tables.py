@@ -99,6 +99,28 @@ def drop_expired_files(path: str, as_of: datetime, ttl_seconds: int = TIMELINE_T
     return expired
 
 
+def drop_expired_groups(path: str, as_of: datetime, ttl_seconds: int) -> list[str]:
+    """Delete the ``batch_id=`` folders of ``path`` all of whose dates hold expired rows only.
+
+    One without rows has no date and goes as well, but for the last.
+    """
+    oldest = (as_of - timedelta(seconds=ttl_seconds)).date()
+    groups = sorted(_folders(path), key=lambda p: int(p.rpartition("=")[2]))
+    expired = []
+    for group in groups:
+        dates = [d for f in _folders(group) if (d := f.rpartition("ingest_date=")[2]) != f]
+        empty = not dates and group != groups[-1] and _has_success(group)
+        if empty or (dates and all(datetime.fromisoformat(d).date() < oldest for d in dates)):
+            expired.append(group)
+            _delete(group)
+    return expired
+
+
+def is_complete(path: str) -> bool:
+    """Whether a write to a folder has come to its end."""
+    return _has_success(path)
+
+
 # --- status: batches of changes, and snapshots that fold them -----------------
 #
 # changes/feed=F/batch_id=N     what a micro-batch of a feed changed

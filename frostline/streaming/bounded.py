@@ -5,6 +5,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from frostline.operators.previous import bucket_of
 from frostline.schema import READING_COLUMNS, READING_SCHEMA
@@ -12,7 +13,7 @@ from frostline.session import scratch_dir, stream_session
 from frostline.sources.events import read_readings
 from frostline.sources.messages import encode
 from frostline.sources.replay import replay_stream
-from frostline.streaming.run import append_files, run_streams
+from frostline.streaming.run import append_files, append_shared, run_streams, update_files
 
 # A reading so late in time that the watermark it sets closes everything else.
 END_DEVICE = "end of stream"
@@ -23,8 +24,8 @@ BATCH_ROWS = 1_000_000
 LEAST_BATCHES = 4
 # Files of a micro-batch hold about so many, so that several tasks write and read it.
 FILE_ROWS = 250_000
-# Readings of one such span of time stay in one micro-batch.
-COUNTED_MS = 100
+# Readings of one such span (milliseconds or numbers of ``seq``) stay in one micro-batch.
+COUNTED = 100
 
 
 def end_marker(spark: SparkSession) -> DataFrame:
@@ -33,16 +34,17 @@ def end_marker(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(row, READING_SCHEMA)
 
 
-def write_slices(readings: DataFrame, path: str, late: Column | None = None) -> int:
+def write_slices(readings: DataFrame, path: str, late: Column | None = None, by: str = "time_ms") -> int:
     """Readings as some files for each slice of time, in order, then the end marker.
 
     Slices have about as many readings each, by counts of short spans of time, so
     neither a busy hour nor a time far off makes a large one. Readings of the first
     one that are ``late`` come with the last one instead. Slices are written one
     after the other, since a stream takes files in the order of their times of
-    writing. Returns how many files a micro-batch takes.
+    writing. ``by`` may also be ``seq``, for slices in order of arrival. Returns how
+    many files a micro-batch takes.
     """
-    span = bucket_of(F.col("time_ms"), COUNTED_MS)
+    span = bucket_of(F.col(by), COUNTED)
     counts = readings.groupBy(span.alias("span_")).agg(F.count("*").alias("n"))
     rows = counts.agg(F.sum("n")).first()[0] or 0
     slices = max(LEAST_BATCHES, -(-rows // BATCH_ROWS))
@@ -77,6 +79,7 @@ def run_over(
     result: Callable[[DataFrame], DataFrame],
     name: str,
     late: Column | None = None,
+    by: str = "time_ms",
 ) -> DataFrame:
     """Stream readings through ``result`` to the end; returns what it wrote.
 
@@ -85,7 +88,7 @@ def run_over(
     """
     spark = readings.sparkSession
     folder = scratch_dir(spark, name)
-    files = write_slices(readings, f"{folder}/readings", late)
+    files = write_slices(readings, f"{folder}/readings", late, by)
     stream = replay_stream(stream_session(spark), f"{folder}/readings", READING_SCHEMA, files_per_trigger=files)
     out = result(stream)
     append_files(out, folder, "out", available_now=True).awaitTermination()
@@ -93,6 +96,18 @@ def run_over(
     return written.where(F.col("device_id") != END_DEVICE)
 
 
+def run_updates(readings: DataFrame, result: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """The same for a result in update mode: rows of all micro-batches with their ``batch_id``."""
+    spark = readings.sparkSession
+    folder = scratch_dir(spark, name)
+    files = write_slices(readings, f"{folder}/readings")
+    stream = replay_stream(stream_session(spark), f"{folder}/readings", READING_SCHEMA, files_per_trigger=files)
+    out = result(stream)
+    update_files(out, folder, "out", available_now=True).awaitTermination()
+    schema = T.StructType([*out.schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(schema).parquet(f"{folder}/out").where(F.col("device_id") != END_DEVICE)
+
+
 def run_over_events(
     spark: SparkSession,
     sf_dir: str,
@@ -118,3 +133,13 @@ def run_all_over_events(
     for query in streams:
         query.awaitTermination()
     return folder
+
+
+def run_shared_over_events(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The query of all stateless sinks over ``events``; returns their folder."""
+    session = stream_session(spark)
+    folder = scratch_dir(spark, name)
+    files = write_slices(event_readings(spark, sf_dir), f"{folder}/readings")
+    stream = replay_stream(session, f"{folder}/readings", READING_SCHEMA, files_per_trigger=files)
+    append_shared(encode(stream), folder, available_now=True).awaitTermination()
+    return folder

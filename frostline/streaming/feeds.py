@@ -56,15 +56,15 @@ def timeline_stream(readings: DataFrame) -> DataFrame:
     return readings.select("*", now.alias("ingest_ts"), now.cast("date").alias("ingest_date"))
 
 
-def status_feeds(
+def stateful_feeds(
     readings: DataFrame,
     delay: str = WATERMARK_DELAY,
     groups: int | None = None,
     efficiency: str = "delta",
 ) -> dict[str, DataFrame]:
-    """The three feeds of the status table. Defrost keeps late readings."""
+    """The feeds of the status table that keep state. Defrost, which takes late
+    readings too (X7), is a sink of :mod:`frostline.streaming.shared`."""
     return {
-        "defrost": as_changes(defrost_events(readings)),
         "door": as_changes(door_stream(readings, delay, groups)),
         "efficiency": as_changes(efficiency_changes(efficiency_stream(readings, delay, efficiency))),
     }

@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from frostline.operators.latency import observe_latency
 from frostline.schema import TIMELINE_TTL_SECONDS, TRIGGER_INTERVAL
-from frostline.sources.messages import decode, quarantine
+from frostline.sources.messages import decode
 from frostline.sources.tables import compact_status, write_changes
-from frostline.streaming.feeds import status_feeds, timeline_stream
+from frostline.streaming.feeds import stateful_feeds
 from frostline.streaming.previous import WATERMARK_DELAY
+from frostline.streaming.shared import QUARANTINE_SECONDS, SINKS, STATUS, Sink, drop_expired_batches, write_sinks
 
 # Micro-batches between two compactions of the status table.
 COMPACT_EVERY = 100
-QUARANTINE_SECONDS = 30 * 86_400
 
-TIMELINE, STATUS, QUARANTINE, CHECKPOINTS = "timeline", "status", "quarantine", "checkpoints"
+SHARED, CHECKPOINTS = "shared", "checkpoints"
 
 
 def _triggered(writer: DataStreamWriter, root: str, name: str, available_now: bool) -> StreamingQuery:
@@ -39,21 +38,46 @@ def append_files(
     return _triggered(writer.option("path", f"{root}/{name}"), root, name, available_now)
 
 
-def append_changes(
-    feed: DataFrame, root: str, name: str, available_now: bool = False, compact_every: int | None = None
+def append_changes(feed: DataFrame, root: str, name: str, available_now: bool = False) -> StreamingQuery:
+    """Status changes, folded per micro-batch and replaced when one is replayed."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_changes(batch, f"{root}/{STATUS}", name, batch_id)
+
+    return _triggered(feed.writeStream.foreachBatch(write), root, f"status-{name}", available_now)
+
+
+def update_files(updates: DataFrame, root: str, name: str, available_now: bool = False) -> StreamingQuery:
+    """Rows that replace earlier ones, in a folder for each micro-batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+
+    return _triggered(updates.writeStream.outputMode("update").foreachBatch(write), root, name, available_now)
+
+
+def append_shared(
+    messages: DataFrame,
+    root: str,
+    available_now: bool = False,
+    compact_every: int | None = COMPACT_EVERY,
+    ttl_seconds: int = TIMELINE_TTL_SECONDS,
+    quarantine_seconds: int = QUARANTINE_SECONDS,
+    sinks: dict[str, Sink] = SINKS,
 ) -> StreamingQuery:
-    """Status changes, folded per micro-batch and replaced when one is replayed.
+    """One query, and one read of the source, for every sink that needs no state.
 
-    ``compact_every`` batches, this query folds those of all feeds; only one
-    query of a status folder may do so.
+    ``compact_every`` batches, this query folds the status changes of all feeds and
+    drops what has expired; only one query of a folder may do so.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_changes(batch, f"{root}/{STATUS}", name, batch_id)
+        write_sinks(batch, batch_id, root, sinks)
         if compact_every and batch_id % compact_every == compact_every - 1:
             compact_status(batch.sparkSession, f"{root}/{STATUS}")
+            drop_expired_batches(root, None, ttl_seconds, quarantine_seconds)
 
-    return _triggered(feed.writeStream.foreachBatch(write), root, f"status-{name}", available_now)
+    return _triggered(messages.writeStream.foreachBatch(write), root, SHARED, available_now)
 
 
 def run_streams(
@@ -68,25 +92,16 @@ def run_streams(
     compact_every: int = COMPACT_EVERY,
     quarantine_seconds: int = QUARANTINE_SECONDS,
 ) -> list[StreamingQuery]:
-    """Raw messages to timeline, status and quarantine under ``root``.
+    """Raw messages to timeline, status, quarantine and delays under ``root``.
 
     ``messages`` makes the source stream (``value``, ``seq``) from a session, for
     example :func:`frostline.sources.kafka.read_kafka_stream`. Use a session of
-    :func:`frostline.session.stream_session`. The timeline's files are dropped
-    from its log some time after they expire; readers apply the exact limit, and
-    :func:`frostline.sources.tables.drop_expired_files` deletes whole dates.
-    Files of the quarantine leave its log after ``quarantine_seconds``.
+    :func:`frostline.session.stream_session`. One query reads the source for all
+    results without state, one for the door and one for efficiency. Micro-batches
+    of the timeline and the quarantine are deleted some time after they expire;
+    readers of the timeline apply the exact limit.
     """
     source = messages(session)
-    readings = decode(source)
-    history = timeline_stream(observe_latency(readings))
-    queries = [
-        append_files(history, root, TIMELINE, available_now, retention=f"{ttl_seconds}s"),
-        append_files(
-            quarantine(source), root, QUARANTINE, available_now, retention=f"{quarantine_seconds}s"
-        ),
-    ]
-    for name, feed in status_feeds(readings, delay, groups, efficiency).items():
-        compact = compact_every if name == "defrost" else None
-        queries.append(append_changes(feed, root, name, available_now, compact))
-    return queries
+    feeds = stateful_feeds(decode(source), delay, groups, efficiency)
+    shared = append_shared(source, root, available_now, compact_every, ttl_seconds, quarantine_seconds)
+    return [shared, *(append_changes(feed, root, name, available_now) for name, feed in feeds.items())]
