@@ -17,12 +17,15 @@ Defined results
 * A null in a tree column is a value of its own. Null tokens count as 0.
 * A row of no tokens takes part in an epoch but uses none of its budget.
 * Equal ids are ordered by their tokens; repeated rows count as often as they come.
-* Weights of 0, negative or null weights get nothing, also of what is short.
+* Weights of 0, negative or null weights get nothing, also of what is short; what
+  lies below such a node is no supply of the nodes above it.
 * An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -60,13 +63,15 @@ def leaf_budgets(
     """Add ``budget`` to a table with one row per leaf and its ``available`` tokens.
 
     ``weights[i]`` is an expression over the tree columns; it is the weight of a
-    node of level i among its siblings.
+    node of level i among its siblings, and the same for all leaves below the node.
     """
-    nodes = leaves.withColumn("cap", F.col("available") * max_epochs)
     budget = F.lit(budget) if isinstance(budget, int) else budget
     tree = [f"l{i}" for i in range(len(levels))]
-    nodes = nodes.withColumns({t: F.coalesce(F.col(c).cast("string"), F.lit("\0")) for t, c in zip(tree, levels)})
+    nodes = leaves.withColumns({t: F.coalesce(F.col(c).cast("string"), F.lit("\0")) for t, c in zip(tree, levels)})
     nodes = nodes.withColumns({f"w{i}": F.coalesce(w.cast("double"), F.lit(0.0)) for i, w in enumerate(weights)})
+    # Tokens below a node without weight can't be reached.
+    reached = reduce(lambda a, b: a & b, [F.col(f"w{i}") > 0 for i in range(len(levels))])
+    nodes = nodes.withColumn("cap", F.when(reached, F.col("available") * max_epochs).otherwise(0))
     root = nodes.agg(F.sum("cap").alias("cap")).select(F.least(budget, F.col("cap")).cast("long")).first()[0] or 0
     given = None
 
