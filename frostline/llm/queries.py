@@ -164,7 +164,9 @@ sized AS (
 
 _SHARDS = f"""WITH {_CRC},
 ranked AS (
-  SELECT *, (2 * row_number() OVER w - 1)::DOUBLE / (2 * count(*) OVER (PARTITION BY source))::DOUBLE AS fraction
+  SELECT *, ((row_number() OVER w - 1) * {1 << sharding.PHASE_BITS}
+             + ('0x' || substr(md5('shards:source:' || coalesce(source, 'null')), 1, {sharding.PHASE_BITS // 4}))::BIGINT
+            )::DOUBLE / (count(*) OVER (PARTITION BY source) * {1 << sharding.PHASE_BITS})::DOUBLE AS fraction
   FROM sized
   WINDOW w AS (PARTITION BY source ORDER BY shuffled, doc_id NULLS FIRST, text_crc32, size)),
 placed AS (

@@ -1,7 +1,8 @@
 """Proportional stratified interleaving of sources over shards.
 
 The rows of each source are shuffled by a seeded hash of their ids and ranked.
-Row ``r`` of a source of ``n`` rows has the fraction ``(2 r + 1) / (2 n)``. In the
+Row ``r`` of a source of ``n`` rows has the fraction ``(r + u) / n``, where ``u`` is a
+seeded phase of the source from 0 to 1, which spreads sources of few rows. In the
 order of these fractions, every stretch of rows holds the sources in the same
 proportions as the whole; cut into equal numbers of rows, so does every shard.
 Only DataFrame functions are used. Neither ranking holds a whole source, or the
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from frostline.llm.common import CELLS, order_cell, positions, seeded_order
 
 RECORD_BYTES = 8
+PHASE_BITS = 16
 
 
 def interleaved_shards(
@@ -47,10 +49,12 @@ def interleaved_shards(
     )
     tie = ["shuffled", "id", "text_crc32", "size"]
     ranked = positions(rows, ["source"], order_cell(F.col("shuffled")), tie)
-    fraction = (2 * F.col("before") + 1).cast("double") / (2 * F.col("total")).cast("double")
+    phase = F.shiftright(seeded_order(f"{seed}:source", F.col("source")), 60 - PHASE_BITS)
+    steps = 1 << PHASE_BITS
+    fraction = (F.col("before") * steps + phase).cast("double") / (F.col("total") * steps).cast("double")
     ranked = ranked.select(*rows.columns, fraction.alias("fraction"))
     cell = F.least(F.floor(F.col("fraction") * CELLS), F.lit(CELLS - 1))
-    placed = positions(ranked, [], cell, ["fraction", "source", *tie])
+    placed = positions(ranked, [], cell, ["fraction", "shuffled", "source", *tie[1:]])
     shard = F.expr(f"(before * {shards}) div total")
     first = F.expr(f"(shard * total + {shards - 1}) div {shards}")
     return placed.withColumn("shard", shard).select(

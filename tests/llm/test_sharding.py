@@ -4,7 +4,9 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
+from frostline.llm.common import CELLS, seeded_order
 from frostline.llm.sharding import interleaved_shards
 
 
@@ -20,9 +22,10 @@ def test_equals_brute_force(documents, shards):
     placed = []
     for source, group in by_source.items():
         group.sort(key=lambda r: (r[0], none_first(r[1]), r[2], r[3]))
+        phase = int(hashlib.md5(f"shards:source:{'null' if source is None else source}".encode()).hexdigest()[:4], 16)
         for rank, r in enumerate(group):
-            place = Fraction(2 * rank + 1, 2 * len(group))
-            placed.append((float(place), (source is not None, source or ""), r[0], none_first(r[1]), r[2], r[3], r[1]))
+            place = Fraction(rank * 65536 + phase, 65536 * len(group))
+            placed.append((float(place), r[0], (source is not None, source or ""), none_first(r[1]), r[2], r[3], r[1]))
     placed.sort()
     want = Counter()
     for at, (*_, crc, size, i) in enumerate(placed):
@@ -45,5 +48,18 @@ def test_every_shard_has_the_mixture(spark):
     assert max(sizes.values()) - min(sizes.values()) <= 1
 
 
+def test_many_sources_of_one_row(spark):
+    """They are spread over cells and shards, and not in order of their names."""
+    docs = spark.range(8000).selectExpr("id AS doc_id", "'x' AS text", "concat('s', id) AS source")
+    rows = interleaved_shards(docs, shards=24).collect()
+    sizes = Counter(r["shard"] for r in rows)
+    assert max(sizes.values()) - min(sizes.values()) <= 1
+    first = sorted((r["slot"], r["source"]) for r in rows if r["shard"] == 0)
+    assert [s for _, s in first] != sorted(s for _, s in first)
+    spread = seeded_order("shards:source", F.col("source"))
+    cells = docs.groupBy(F.floor(F.shiftright(spread, 44) / 65536 * CELLS)).count().agg(F.max("count")).first()[0]
+    assert cells < 20
+
+
 def test_no_documents(no_documents):
     assert interleaved_shards(no_documents, shards=24).count() == 0
