@@ -48,6 +48,22 @@ def repeated(keys: np.ndarray) -> np.ndarray:
     return counts[inverse] > 1
 
 
+def repeated_windows(texts: Texts, n: int) -> np.ndarray:
+    """First words of the windows of n words that their text has twice or more.
+
+    Hashes find the few that may be; of these the words themselves are compared.
+    """
+    windows, at = texts.word_windows(texts.word_hash(), n)
+    at = at[repeated(mix(windows + texts.word_doc[at].astype(np.uint64)))]
+    if not len(at):
+        return at
+    members = at[:, None] + np.arange(n)
+    words, place = np.unique(members, return_inverse=True)
+    numbers = texts.span_numbers(texts.word_start[words], texts.word_end[words])[place.reshape(members.shape)]
+    _, same = np.unique(np.column_stack([texts.word_doc[at], numbers]), axis=0, return_inverse=True)
+    return at[repeated(same)]
+
+
 def base_statistics(texts: Texts) -> dict[str, np.ndarray]:
     """The five base counts of every text."""
     docs = len(texts)
@@ -63,13 +79,12 @@ def base_statistics(texts: Texts) -> dict[str, np.ndarray]:
     first_word = np.searchsorted(texts.word_start, line_start)
     with_word = np.append(texts.word_start, len(texts.chars) + 1)[first_word] < line_end
     line_doc = line_doc[with_word]
-    lines = texts.spans_hash(line_start[with_word], line_end[with_word])
-    _, firsts = np.unique(mix(lines + line_doc.astype(np.uint64)), return_index=True)
+    lines = texts.span_numbers(line_start[with_word], line_end[with_word])
+    _, firsts = np.unique(line_doc * (lines.max(initial=0) + 1) + lines, return_index=True)
     again = np.ones(len(lines), dtype=bool)
     again[firsts] = False
 
-    windows, at = texts.word_windows(texts.word_hash(), WINDOW)
-    twice = at[repeated(mix(windows + texts.word_doc[at].astype(np.uint64)))]
+    twice = repeated_windows(texts, WINDOW)
     cover = np.zeros(len(texts.word_doc) + WINDOW, dtype=np.int64)
     cover[twice] += 1
     cover = np.cumsum(cover - np.concatenate([np.zeros(WINDOW, dtype=np.int64), cover[:-WINDOW]]))

@@ -112,6 +112,28 @@ class Texts:
         np.cumsum((self.chars + np.uint32(1)).astype(np.uint64) * power[:n], out=total[1:])
         return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
 
+    def span_numbers(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A number for each span that equal ones share, and no others.
+
+        Spans of equal hashes are compared by their characters with the first of
+        them; those of a hash that unequal ones share are numbered by their
+        characters outright.
+        """
+        hashes, first, number = np.unique(self.spans_hash(start, end), return_index=True, return_inverse=True)
+        one = first[number]
+        differs = end - start != (end - start)[one]
+        rows = np.flatnonzero(~differs & (one != np.arange(len(one))))
+        lengths = (end - start)[rows]
+        owner = np.repeat(np.arange(len(rows)), lengths)
+        offset = np.arange(len(owner)) - (np.cumsum(lengths) - lengths)[owner]
+        unequal = self.chars[start[rows][owner] + offset] != self.chars[start[one[rows]][owner] + offset]
+        differs[rows[owner[unequal]]] = True
+        known: dict[bytes, int] = {}
+        for i in np.flatnonzero(np.isin(number, number[differs])) if differs.any() else ():
+            text = self.chars[start[i] : end[i]].tobytes()
+            number[i] = len(hashes) + known.setdefault(text, len(known))
+        return number
+
     def word_hash(self) -> np.ndarray:
         return self.spans_hash(self.word_start, self.word_end)
 

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from frostline.llm import quality_rules as rules
 from frostline.llm.text import SLICE_CHARS, Texts, ngrams
@@ -40,6 +41,24 @@ def test_texts_of_all_kinds_in_one_slice():
         assert tuple(int(found[c][i]) for c in rules.STATISTICS) == brute(t), t
 
 
+def thue_morse(n, swap=False):
+    a, b = ("ba", "ab")[swap]
+    return "".join(a if i.bit_count() % 2 else b for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_texts_whose_polynomial_hashes_are_equal(n):
+    """Unequal by their characters, equal by any polynomial modulo 2**64."""
+    one, other = thue_morse(n), thue_morse(n, swap=True)
+    found = Texts.of([one, other])
+    assert found.word_hash()[0] == found.word_hash()[1] and one != other
+    words = [one, "p", "q", "r", "s", "t", "u", other, "p", "q", "r", "s", "v"]
+    for text in (f"{one}\n{other}", f"{one}\n{other}\n{one}", " ".join(words), " ".join(words + words[:5])):
+        got = rules.base_statistics(Texts.of(["a b", text, text]))
+        for i in (1, 2):
+            assert tuple(int(got[c][i]) for c in rules.STATISTICS) == brute(text)
+
+
 def test_score_is_the_mean_log_ratio(spark, documents, labels):
     trusted = rules.trusted_by_labels(labels)
     good = {r[0] for r in trusted.collect()}
