@@ -48,6 +48,32 @@ def test_round_trip(spark, chunk_bytes):
     assert payloads == {i: html.encode() for i, _, html, *_ in rows()[:12]}
 
 
+def test_repeated_rows_of_many_chunks_stay_apart(spark):
+    rows = [(7, "u", "ab" * 2600, "c", "d")] * 3 + [(8, "u", "x" * 900, "c", "d")] * 2 + [(6, "u", "ab" * 2600, "c", "d")]
+    folder = spark.conf.get("spark.checkpoint.dir") + "/warc-repeated"
+    archives = warc.write_archives(spark.createDataFrame(rows, KIND).repartition(2), folder, chunk_bytes=1000)
+    table = warc.read_chunks(archives, chunk_bytes=1000).collect()
+    records = {}
+    for r in sorted(table, key=lambda r: r["chunk_no"]):
+        records.setdefault((r["record"], r["page"], r["record_type"]), []).append(r["chunk"] or b"")
+    assert len({row for row, *_ in records}) == 6
+    got = sorted((page, kind, b"".join(parts).decode()) for (_, page, kind), parts in records.items())
+    assert got == [(6, "revisit", "")] + [(7, "response", "ab" * 2600)] * 3 + [(8, "response", "x" * 900)] * 2
+
+
+def test_archives_are_read_by_a_task_each(spark):
+    pages = spark.range(400).selectExpr("id AS page_id", "'u' AS url", "concat('page ', id) AS html", "'' AS chunk", "'' AS digest")
+    folder = spark.conf.get("spark.checkpoint.dir") + "/warc-many"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        archives = warc.write_archives(pages, folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert archives.count() > 1
+    tasks = warc.read_chunks(archives).select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > archives.count() // 2
+
+
 def test_damage_is_an_error(spark):
     pages = spark.createDataFrame([(1, "u", "x" * 5000, "", "")], KIND)
     folder = spark.conf.get("spark.checkpoint.dir") + "/warc-damaged"
