@@ -41,6 +41,12 @@ RADIUS = 4
 BLOCKS = 6
 TILE = 2048
 
+# Rows of a tile that is compared at once, and how many pairs of them.
+TILE_ROWS = 64
+TILES_AT_ONCE = 128
+
+LABEL_SALTS = 32
+
 _ROWS_AT_ONCE = 1 << 15
 _SHINGLES_AT_ONCE = 1 << 16
 
@@ -167,52 +173,65 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[moved], values[label[moved]]
 
 
-def compare_tiles(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of two tiles within the radius, by sub-tiles of near bit counts."""
+def _pairs_of_tiles(left: np.ndarray, right: np.ndarray, rows: dict, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between tiles, given by their numbers: rows of one cell within the radius."""
+    fp, cell, side, both = (rows[k] for k in ("fp", "cell", "side", "both"))
     found_a, found_b = [], []
-    a, b = (x[np.argsort(np.bitwise_count(x), kind="stable")] for x in (a, b))
-    ones_a, ones_b = (np.bitwise_count(x).astype(np.int64) for x in (a, b))
-    step = 256
-    for i in range(0, len(a), step):
-        tile, ones = a[i : i + step], ones_a[i : i + step]
-        low = np.searchsorted(ones_b, ones[0] - radius, side="left")
-        high = np.searchsorted(ones_b, ones[-1] + radius, side="right")
-        for j in range(low, high, step):
-            other = b[j : min(j + step, high)]
-            x, y = np.nonzero(np.bitwise_count(tile[:, None] ^ other[None, :]) <= radius)
-            found_a.append(tile[x])
-            found_b.append(other[y])
+    for at in range(0, len(left), TILES_AT_ONCE):
+        i, j = left[at : at + TILES_AT_ONCE], right[at : at + TILES_AT_ONCE]
+        close = np.bitwise_count(fp[i][:, :, None] ^ fp[j][:, None, :]) <= radius
+        close &= cell[i][:, :, None] == cell[j][:, None, :]
+        # In a cell of two large tiles, just these are compared with each other.
+        close &= (side[i][:, :, None] != side[j][:, None, :]) | ~both[i][:, :, None]
+        n, x, y = np.nonzero(close)
+        a, b = fp[i[n], x], fp[j[n], y]
+        found_a.append(a[a != b])
+        found_b.append(b[a != b])
     none = np.zeros(0, dtype=np.uint64)
     return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
 
 
 def compare_cells(cell: np.ndarray, side: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of whole cells, whose rows stand together ordered by side."""
-    starts = np.flatnonzero(np.diff(cell, prepend=cell[:1] - 1) != 0) if len(cell) else np.zeros(0, int)
-    sizes = np.diff(np.append(starts, len(cell)))
-    found_a, found_b = [], []
-    large = sizes > 16
-    for s, n in zip(starts[large], sizes[large]):
-        rows = fp[s : s + n]
-        split = np.searchsorted(side[s : s + n], 1)
-        a, b = compare_tiles(rows[:split], rows[split:] if split < n else rows, radius)
-        a, b = forest(a[a != b], b[a != b])
-        found_a.append(a)
-        found_b.append(b)
-    # Small cells, all at once: every row with the one that stands d places on.
-    # Two tiles of a cell may be compared whole; a link is a link anywhere.
-    little = ~np.repeat(large, sizes)
-    c, f = cell[little], fp[little]
-    for d in range(1, min(16, len(c))):
-        same = np.flatnonzero(c[d:] == c[:-d])
-        if not len(same):
+    """Links of whole cells, whose rows stand together.
+
+    Rows are ordered by cell, side and the number of bits set, and cut into tiles.
+    A tile is compared with itself and with the later ones that go on with its last
+    cell, unless all bit counts of that cell in the two differ by more than the radius.
+    """
+    if not len(cell):
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+    ones = np.bitwise_count(fp).astype(np.int64)
+    order = np.lexsort((ones, side, cell))
+    _, cell = np.unique(cell, return_inverse=True)
+    sides = np.zeros((cell.max() + 1, 2), dtype=bool)
+    sides[cell, side] = True
+    tiles = -(-len(cell) // TILE_ROWS)
+
+    def cut(values: np.ndarray, fill) -> np.ndarray:
+        out = np.full(tiles * TILE_ROWS, fill, dtype=values.dtype)
+        out[: len(values)] = values[order]
+        return out.reshape(tiles, TILE_ROWS)
+
+    # What fills up the last tile is in a cell of its own, with equal values.
+    rows = {"fp": cut(fp, 0), "cell": cut(cell, cell.max() + 1), "side": cut(side, 0), "both": cut(sides.all(axis=1)[cell], False)}
+    counts = cut(ones, 0)
+    first, last = rows["cell"][:, :1], rows["cell"][:, -1:]
+    large = np.int64(1 << 32)
+    low = [np.where(rows["cell"] == c, counts, large).min(axis=1) for c in (first, last)]
+    high = [np.where(rows["cell"] == c, counts, -large).max(axis=1) for c in (first, last)]
+    every = np.arange(tiles)
+    found = [_pairs_of_tiles(every, every, rows, radius)]
+    left, step = every, 1
+    while True:
+        left = left[left + step < tiles]
+        left = left[first[left + step, 0] == last[left, 0]]
+        if not len(left):
             break
-        x, y = f[same], f[same + d]
-        close = np.bitwise_count(x ^ y) <= radius
-        found_a.append(x[close])
-        found_b.append(y[close])
-    none = np.zeros(0, dtype=np.uint64)
-    return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
+        right = left + step
+        near = (low[0][right] - high[1][left] <= radius) & (low[1][left] - high[0][right] <= radius)
+        found.append(_pairs_of_tiles(left[near], right[near], rows, radius))
+        step += 1
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
 
 def links(fps: DataFrame, *, radius: int = RADIUS, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
@@ -272,28 +291,43 @@ def near_duplicates(
     )
 
 
-def groups(found: DataFrame, *, radius: int = RADIUS, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
-    """``fp``, its group's least fingerprint ``label`` and least id ``component_id``."""
-    distinct = written(found.groupBy("fp").agg(F.min("id").alias("least_id")), "distinct-fingerprints")
+def labels(distinct: DataFrame, *, radius: int = RADIUS, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
+    """Add ``label``, the least fingerprint of its group, to distinct fingerprints."""
     linked = components(links(distinct.select("fp"), radius=radius, blocks=blocks, tile=tile))
     labelled = distinct.join(linked, distinct["fp"] == linked["node"], "left")
-    labelled = labelled.select("fp", "least_id", F.coalesce("component", "fp").alias("label"))
+    return labelled.select(*distinct.columns, F.coalesce("component", "fp").alias("label"))
+
+
+def groups(found: DataFrame, **options) -> DataFrame:
+    """``fp``, its group's least fingerprint ``label`` and least id ``component_id``."""
+    distinct = written(found.groupBy("fp").agg(F.min("id").alias("least_id")), "distinct-fingerprints")
+    labelled = written(labels(distinct, **options), "labels")
     least = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    return labelled.join(least, "label").select("fp", "label", "component_id")
+    # A group may have any share of the fingerprints: its row is copied, they are dealt out.
+    copies = F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1)))
+    least = least.select("label", "component_id", copies.alias("salt"))
+    salted = labelled.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(LABEL_SALTS)).cast("int"))
+    return salted.join(least, ["label", "salt"]).select("fp", "label", "component_id")
 
 
 def deduplicated(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each group: that with the least id, one row of it."""
+    """One document of each group: that with the least id, one row of it.
+
+    Fingerprints are made once. The row to keep is known by 128 bits of hash of its
+    id and text, by which the documents are then met in their only shuffle.
+    """
     names = documents.columns
-    found = fingerprints(documents, id_col=id_col, text_col=text_col)
-    found = written(found, "fingerprints")
-    grouped = groups(found, **options)
-    kept = found.join(grouped, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
-    kept = kept.groupBy("id", "label").agg(F.min("fp").alias("kept_fp")).select("id", "kept_fp", "label")
-    carried = tuple(dict.fromkeys([*names]))
-    full = fingerprints(documents, id_col=id_col, text_col=text_col, carry=carried)
-    joined = full.alias("f").join(
-        kept.alias("k"), F.col("f.id").eqNullSafe(F.col("k.id")) & (F.col("f.fp") == F.col("k.kept_fp"))
+    rows = documents.select(
+        *(F.col(c).alias(f"carried_{i}") for i, c in enumerate(names)),
+        F.col(id_col).alias("id"),
+        F.col(text_col).alias("text"),
     )
-    rows = joined.select("f.*", "label").dropDuplicates(["id", "label"])
-    return rows.select(*(F.col(f"carried_{i}").alias(c) for i, c in enumerate(carried)))
+    parts = [F.col("id").isNull(), F.col("id"), F.col("text").isNull(), F.col("text")]
+    keys = {f"key_{n}": F.xxhash64(F.lit(n), *parts) for n in range(2)}
+    found = fingerprints(rows.withColumns(keys), id_col="id", text_col="text", carry=tuple(keys))
+    own = F.struct(F.col("id").isNull(), "id", "carried_0", "carried_1")
+    distinct = written(found.groupBy("fp").agg(F.min(own).alias("first")), "distinct-fingerprints")
+    kept = labels(distinct, **options).groupBy("label").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.carried_0").alias("key_0"), F.col("first.carried_1").alias("key_1"))
+    met = rows.withColumns(keys).join(kept, list(keys), "left_semi").dropDuplicates(list(keys))
+    return met.select(*(F.col(f"carried_{i}").alias(c) for i, c in enumerate(names)))

@@ -70,6 +70,44 @@ def test_no_link_is_lost_in_dense_families(spark, tile):
         assert got.get(v, v) == want
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_tiles_find_just_the_links_of_cells(seed):
+    """Cells of one row, of some, and of several tiles; cells with two sides compare these."""
+    rng = np.random.default_rng(seed)
+    sizes = rng.choice([1, 1, 1, 2, 5, 40, 300], 60)
+    cell = np.repeat(rng.permutation(60) * 7, sizes)
+    side = (rng.random(len(cell)) < 0.5) & np.repeat(rng.random(60) < 0.3, sizes)
+    centers = rng.integers(0, 2**64, 60, dtype=np.uint64)
+    fp = np.repeat(centers, sizes)
+    for _ in range(6):
+        fp = fp ^ np.where(rng.random(len(fp)) < 0.6, np.uint64(1) << rng.integers(0, 64, len(fp)).astype(np.uint64), np.uint64(0))
+    a, b = simhash.compare_cells(cell.astype(np.int64), side.astype(np.int32), fp, 4)
+    got = {frozenset(p) for p in zip(a.tolist(), b.tolist())}
+    want = set()
+    for c in np.unique(cell):
+        rows = np.flatnonzero(cell == c)
+        two = len(set(side[rows].tolist())) == 2
+        for i in rows:
+            for j in rows:
+                if i < j and fp[i] != fp[j] and int(fp[i] ^ fp[j]).bit_count() <= 4 and not (two and side[i] == side[j]):
+                    want.add(frozenset((int(fp[i]), int(fp[j]))))
+    assert got == want and want
+
+
+def test_tiles_far_apart_in_bit_counts_are_skipped(monkeypatch):
+    """One cell of values with 0, 10, 20, ... bits: a tile meets itself only."""
+    fp = np.concatenate([np.full(64, (1 << 10 * k) - 1, dtype=np.uint64) for k in range(6)])
+    met, whole = [], simhash._pairs_of_tiles
+
+    def counted(left, right, rows, radius):
+        met.append(len(left))
+        return whole(left, right, rows, radius)
+
+    monkeypatch.setattr(simhash, "_pairs_of_tiles", counted)
+    simhash.compare_cells(np.zeros(384, dtype=np.int64), np.zeros(384, dtype=np.int32), fp, 4)
+    assert met[0] == 6 and sum(met[1:]) == 0
+
+
 def test_block_masks_cover_all_choices():
     assert len(simhash.block_masks(4, 6)) == 15
     with pytest.raises(ValueError):
