@@ -1,12 +1,19 @@
 """Best-fit packing of documents into sequences of several permitted lengths.
 
 Documents, longest first, go to the open sequence with the least room that still
-holds them. If none does, a sequence is opened with the permitted length of least
-cost per token it can be expected to hold; the cost of a length has a part for
-every sequence, one for every token and one for attention, which grows with the
-square. In the end each sequence is cut down to the least permitted length that
-holds its contents. A document longer than the longest sequence is cut into
-pieces of that length and a rest.
+holds them. If none does, a sequence is opened, and a plan says with which length: it
+names one for each class of documents, those that the same permitted length is just
+long enough for. In the end each sequence is cut down to the least permitted length
+that holds its contents. The cost of a sequence has a part of its own, one for every
+token of its length and one for attention, which grows with the square.
+
+Lengths depend on each other, as what a longer sequence has left over takes up shorter
+documents, so the plan is optimised as a whole: a group is packed by the plan of least
+lengths and by those that open no sequence below some length, and from each the length
+of one class after the other is changed for as long as the total cost of the cut down
+sequences falls. The cheapest packing counts, so it is never dearer than opening least
+lengths. A document longer than the longest sequence is cut into pieces of that length
+and a rest.
 
 Items are dealt into groups of about ``group_rows`` by a hash, and each group is
 packed by itself. Only ids and lengths move. What a group wastes at its end is
@@ -39,38 +46,64 @@ def byte_tokens(text_col: str = "text") -> Column:
     return F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long") + 1
 
 
-def cost(length: int) -> float:
+def cost(length):
+    """Of a sequence of some length, or of each of an array of lengths."""
     return SEQUENCE_COST + length + ATTENTION_COST * length * length
 
 
-def best_fit(sizes: np.ndarray, lengths: tuple[int, ...] = LENGTHS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best_fit(
+    sizes: np.ndarray, lengths: tuple[int, ...] = LENGTHS, plan: tuple[int, ...] | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sequence and offset of every item, and the final length of every sequence.
 
-    ``sizes`` falls; none is above the longest length.
+    ``sizes`` falls; none is above the longest length. ``plan`` has the length to
+    open a sequence with for items that the first, second, ... length is just long
+    enough for; without it, that is this length itself.
     """
     lengths = tuple(sorted(lengths))
-    left = int(sizes.sum())
+    plan = lengths if plan is None else plan
+    opening = np.array(plan)[np.searchsorted(lengths, sizes)].tolist() if len(sizes) else []
     room: list[tuple[int, int]] = []  # of open sequences, least first
-    opened: list[int] = []
     used: list[int] = []
-    where, offset = np.zeros(len(sizes), dtype=np.int64), np.zeros(len(sizes), dtype=np.int64)
-    for i, size in enumerate(sizes.tolist()):
+    where, offset = [], []
+    for size, space in zip(sizes.tolist(), opening):
         at = bisect_left(room, (size, -1))
         if at < len(room):
             space, n = room.pop(at)
         else:
-            fitting = [x for x in lengths if x >= size]
-            space = min(fitting, key=lambda x: (cost(x) / min(x, left), x))
-            n = len(opened)
-            opened.append(space)
+            n = len(used)
             used.append(0)
-        where[i], offset[i] = n, used[n]
+        where.append(n)
+        offset.append(used[n])
         used[n] += size
-        left -= size
         if space > size:
             insort(room, (space - size, n))
     final = np.array(lengths)[np.searchsorted(lengths, used)] if used else np.zeros(0, dtype=np.int64)
-    return where, offset, final
+    return np.array(where, dtype=np.int64), np.array(offset, dtype=np.int64), final
+
+
+def least_cost_fit(sizes: np.ndarray, lengths: tuple[int, ...] = LENGTHS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`best_fit` by the plan that makes the final sequences cheapest."""
+    lengths = tuple(sorted(lengths))
+    known: dict[tuple[int, ...], tuple] = {}
+
+    def total(plan: tuple[int, ...]) -> float:
+        if plan not in known:
+            packing = best_fit(sizes, lengths, plan)
+            known[plan] = (float(np.sum(cost(packing[2].astype(np.float64)))), packing)
+        return known[plan][0]
+
+    classes = sorted(set(np.searchsorted(lengths, sizes).tolist()))
+    for least in lengths:
+        plan = tuple(max(x, least) for x in lengths)
+        better = True
+        while better:
+            before = total(plan)
+            for k in classes:
+                others = [(*plan[:k], x, *plan[k + 1 :]) for x in lengths[k:]]
+                plan = min([plan, *others], key=total)
+            better = total(plan) < before
+    return min(known.values(), key=lambda x: x[0])[1]
 
 
 def packed(
@@ -108,7 +141,7 @@ def packed(
     def pack(group: pa.Table) -> pa.Table:
         order = [("n_tokens", "descending"), ("id", "ascending"), ("copy", "ascending"), ("piece", "ascending")]
         group = group.take(pc.sort_indices(group, sort_keys=order))
-        where, offset, final = best_fit(group["n_tokens"].to_numpy(), lengths)
+        where, offset, final = least_cost_fit(group["n_tokens"].to_numpy(), lengths)
         sequence = (group["pack"][0].as_py() << 32) + where
         added = {"sequence": sequence, "offset": offset, "capacity": final[where]}
         group = group.drop_columns("pack")

@@ -1,3 +1,4 @@
+import itertools
 from collections import defaultdict
 
 import numpy as np
@@ -6,33 +7,100 @@ from pyspark.sql import functions as F
 from frostline.llm import packing
 
 
-def brute_fit(sizes, lengths):
-    """Best fit by looking at every open sequence."""
-    bins, left = [], sum(sizes)
-    where = []
+def brute_fit(sizes, plan):
+    """Best fit by looking at every open sequence; ``plan`` maps a size to an opening length."""
+    bins, where = [], []
     for size in sizes:
         fitting = [(b["space"], n) for n, b in enumerate(bins) if b["space"] >= size]
         if fitting:
             n = min(fitting)[1]
         else:
-            able = [x for x in lengths if x >= size]
-            space = min(able, key=lambda x: (packing.cost(x) / min(x, left), x))
-            bins.append({"space": space, "used": 0})
+            bins.append({"space": plan(size), "used": 0})
             n = len(bins) - 1
         bins[n]["space"] -= size
         bins[n]["used"] += size
-        left -= size
         where.append(n)
-    return where, [min(x for x in lengths if x >= b["used"]) for b in bins]
+    return where, [b["used"] for b in bins]
+
+
+def least(size, lengths):
+    return min(x for x in lengths if x >= size)
+
+
+def price(used, lengths):
+    """The cost model, written out."""
+    return sum(256 + least(u, lengths) + least(u, lengths) ** 2 / 32768 for u in used)
 
 
 def test_best_fit_equals_brute_force():
     rng = np.random.default_rng(5)
+    lengths = (16, 32, 64)
     for _ in range(40):
         sizes = -np.sort(-rng.integers(1, 65, rng.integers(1, 120)))
-        where, offset, final = packing.best_fit(sizes, (16, 32, 64))
-        want, lengths = brute_fit(sizes.tolist(), (16, 32, 64))
-        assert where.tolist() == want and final.tolist() == lengths
+        plan = tuple(int(rng.choice(lengths[k:])) for k in range(3))
+        where, _, final = packing.best_fit(sizes, lengths, plan)
+        want, used = brute_fit(sizes.tolist(), lambda s: plan[lengths.index(least(s, lengths))])
+        assert where.tolist() == want and final.tolist() == [least(u, lengths) for u in used]
+
+
+def plans(lengths):
+    return itertools.product(*(lengths[k:] for k in range(len(lengths))))
+
+
+def test_the_plan_is_the_cheapest_of_all():
+    """Against every plan there is, on inputs of several kinds."""
+    rng, lengths, exact, n = np.random.default_rng(7), (2048, 4096, 8192), 0, 0
+    for _ in range(60):
+        low, high = sorted(rng.integers(1, 8193, 2))
+        sizes = -np.sort(-rng.integers(low, high + 1, rng.integers(1, 60)))
+        got = price_of(packing.least_cost_fit(sizes, lengths))
+        every = []
+        for plan in plans(lengths):
+            _, used = brute_fit(sizes.tolist(), lambda s: plan[lengths.index(least(s, lengths))])
+            every.append(price(used, lengths))
+        _, smallest = brute_fit(sizes.tolist(), lambda s: least(s, lengths))
+        assert got <= price(smallest, lengths) + 1e-6
+        assert min(every) - 1e-6 <= got <= 1.01 * min(every)
+        exact, n = exact + (got <= min(every) + 1e-6), n + 1
+    assert exact >= 0.9 * n
+
+
+def price_of(packed):
+    return sum(256 + x + x**2 / 32768 for x in packed[2].tolist())
+
+
+def partitions(items):
+    if not items:
+        yield []
+        return
+    first, rest = items[0], items[1:]
+    for smaller in partitions(rest):
+        yield [[first], *smaller]
+        for i in range(len(smaller)):
+            yield [*smaller[:i], [first, *smaller[i]], *smaller[i + 1 :]]
+
+
+def test_near_the_best_of_all_packings_of_few_items():
+    """Exhaustive search over all ways to put up to 7 items together."""
+    rng, lengths, met, ratios = np.random.default_rng(11), (2048, 4096, 8192), 0, []
+    for _ in range(60):
+        sizes = -np.sort(-rng.integers(1, 5000, rng.integers(1, 8)))
+        best = min(
+            price([sum(g) for g in groups], lengths)
+            for groups in partitions(sizes.tolist()) if max(map(sum, groups)) <= lengths[-1]
+        )
+        got = price_of(packing.least_cost_fit(sizes, lengths))
+        assert got >= best - 1e-6
+        ratios.append(got / best)
+    assert sum(r < 1 + 1e-9 for r in ratios) >= 30 and sum(ratios) / len(ratios) < 1.05
+
+
+def test_longer_sequences_win_where_least_ones_waste():
+    """Items just above half of the least length fill it badly, and longer ones well."""
+    sizes = np.full(600, 1300)
+    got, smallest = packing.least_cost_fit(sizes), packing.best_fit(sizes)
+    assert set(smallest[2].tolist()) == {2048}
+    assert 4096 in got[2].tolist() and price_of(got) < 0.85 * price_of(smallest)
 
 
 def test_every_token_has_one_place(documents):
