@@ -2,13 +2,15 @@
 
 The page goes through the standard library's parser as a stream of events, which
 become lines: the text between two block boundaries, with the number of tags in
-it. A line's ratio is its characters over its tags. The ratios are smoothed with
-a Gaussian, and lines above a threshold, their standard deviation, are the
-content that the region is chosen by: of the sectioning elements that hold such
-lines, the one with most of their text, widened to the article or main element
-it stands in. All of that region's lines are kept, short ones too, except those
-in elements that are no content by their kind: menus, headers, footers, asides,
-forms, scripts, styles, notices, adverts and comments.
+it. A line's ratio is its characters over its tags, not counting those in links.
+The ratios are smoothed with a Gaussian, and lines above a threshold, their standard
+deviation, are the content that the region is chosen by: of the sectioning elements
+that hold such lines, the one with most of their text, widened to the article or main
+element it stands in. Within the region, lines that are mostly links stand or fall
+by the ratios: a run of them is a menu, whatever it is called, if the threshold is
+not reached all along the run, and some other line of the region reaches it. All other lines are kept, short ones too, except those in elements
+that are no content by their kind: menus, headers, footers, asides, forms, scripts,
+styles, notices, adverts and comments.
 
 Text in an article is preferred, unless the lines above the threshold outside of
 articles are more than twice as long as the longest article.
@@ -69,6 +71,8 @@ NO_CONTENT_WORDS = frozenset(
 TALK_WORDS = frozenset("comment comments respond replies reply discussion disqus".split())
 # How much longer text has to be than what it is preferred to.
 OVER_ARTICLE = 2
+# A line of which so much stands in links is one of links.
+LINK_SHARE = 0.8
 OVER_UNMARKED = 5
 
 _WORD = re.compile(r"[a-z]+")
@@ -83,6 +87,7 @@ class Element:
     section: Element | None = field(repr=False, default=None)
     article: Element | None = field(repr=False, default=None)
     mark: int = -1
+    link: bool = False
 
 
 @dataclass
@@ -108,17 +113,22 @@ class Lines(HTMLParser):
         self.marks: list[Mark] = []
         self.buffer: list[str] = []
         self.tags = 0
+        self.linked = 0
+        self.links: list[float] = []  # the share of each line that stands in links
         self.lines: list[tuple[str, int, Element]] = []
 
     def end_line(self) -> None:
         text = " ".join("".join(self.buffer).split())
         if text:
             self.lines.append((text, self.tags, self.stack[-1]))
+            self.links.append(min(1.0, self.linked / len(text)))
         self.buffer.clear()
-        self.tags = 0
+        self.tags = self.linked = 0
 
     def handle_data(self, data: str) -> None:
         self.buffer.append(data)
+        if self.stack[-1].link:
+            self.linked += len(" ".join(data.split()))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag not in INLINE:
@@ -142,7 +152,9 @@ class Lines(HTMLParser):
             content = content and NO_CONTENT_WORDS.isdisjoint({"comment", "reply"} & set(_WORD.findall(named.lower())))
         elif tag == "main" and not (above.content and mark < 0):  # what stands around it was never closed
             content, mark = True, -1
-        element = Element(tag, len(self.sections), content, above.section, above.article, mark)
+        # A block in a link is text of its own; the link may never have been closed.
+        link = (above.link and tag in INLINE) or (tag == "a" and any(k == "href" for k, _ in attrs))
+        element = Element(tag, len(self.sections), content, above.section, above.article, mark, link)
         if tag in SECTIONS:
             self.parents.append(above.section.number)
             self.sections.append(element)
@@ -249,7 +261,8 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
     if not lines:
         return ""
     sizes = np.array([len(text) for text, _, _ in lines], dtype=float)
-    smooth = smoothed(sizes / np.maximum(1, [tags for _, tags, _ in lines]), sigma)
+    links = np.array(parser.links)
+    smooth = smoothed(sizes * (1 - links) / np.maximum(1, [tags for _, tags, _ in lines]), sigma)
     content = unmarked(parser, sizes, smooth)
     if not content.any():
         return ""
@@ -278,9 +291,25 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
     if region.article is not None:  # or an article in a main element
         region = _outermost(region.article, parser.parents, parser.sections)
     inside = {k for k in {place.section.number for _, _, place in lines} if _within(k, region.number, parser.parents)}
-    return " ".join(
-        text for (text, _, place), kept in zip(lines, content) if kept and place.section.number in inside
-    )
+    kept = content & np.array([place.section.number in inside for _, _, place in lines])
+    threshold = min(smooth.std(), smooth[kept].max())
+    kept &= ~menu_lines(kept, links, smooth, threshold)
+    return " ".join(text for (text, _, _), stays in zip(lines, kept) if stays)
+
+
+def menu_lines(region: np.ndarray, links: np.ndarray, smooth: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of a region's lines stand in runs of links that fall below the threshold."""
+    linked = region & (links >= LINK_SHARE)
+    menus = np.zeros(len(region), dtype=bool)
+    if not linked.any():
+        return menus
+    at = np.flatnonzero(region)
+    runs = np.cumsum(np.diff(linked[at], prepend=False))
+    for run in np.unique(runs[linked[at]]):
+        members = at[runs == run]
+        menus[members] = (smooth[members] < threshold).any()
+    # Without a rated line beside them, the links are what the page is about.
+    return menus & (smooth[region & ~linked] >= threshold).any()
 
 
 def _within(number: int, outer: int, parents: list[int]) -> bool:

@@ -1,8 +1,10 @@
 import html
 import re
 
+import numpy as np
 import pytest
 
+from frostline.llm import html_text
 from frostline.llm.html_text import extracted, main_text
 
 CASES = {
@@ -57,6 +59,49 @@ def test_names_of_wrappers_and_short_articles(page):
     assert main_text(page) == WRAPPED[page]
 
 
+ITEMS = "".join(f"<li><a href='/{n}'>Item {n}</a></li>" for n in range(30))
+BAR = "".join(f"<a href='/{n}'>{n}</a><br>" for n in ("Home", "About", "News", "Terms", "Privacy", "Press"))
+MENUS = {
+    # Menus without a name, before, in and after the text.
+    f"<article><h1>T</h1><ul>{ITEMS}</ul><p>{LONG}</p><p>{LONG}</p><p>Yes.</p></article>": f"T {LONG} {LONG} Yes.",
+    f"<div><h1>T</h1><p>{LONG}</p><ul>{ITEMS}</ul><p>{LONG}</p><p>Short end.</p><p>Fin.</p></div>":
+        f"T {LONG} {LONG} Short end. Fin.",
+    f"<div>{BAR}<p>{LONG}</p><p>{LONG}</p>{BAR}</div>": f"{LONG} {LONG}",
+    # Links in the text stay, and so does a line of them within it.
+    f"<article><p>{LONG} <a href='/x'>More of it</a>.</p><p><a href='/y'>A whole line.</a></p><p>{LONG}</p></article>":
+        f"{LONG} More of it. A whole line. {LONG}",
+    f"<article><p>{LONG}</p><a name=here><p>Not a link.</p><p>Nor this.</p><p>Or this.</p></article>":
+        f"{LONG} Not a link. Nor this. Or this.",
+    # A page of links only, and a link that is never closed.
+    f"<article><ul>{ITEMS}</ul></article>": " ".join(f"Item {n}" for n in range(30)),
+    f"<article><a href='/x'><p>{LONG}</p><p>Short.</p><p>{LONG}</p></article>": f"{LONG} Short. {LONG}",
+}
+
+
+@pytest.mark.parametrize("page", MENUS)
+def test_menus_without_a_name(page):
+    assert main_text(page) == MENUS[page]
+
+
+def test_the_ratios_decide(monkeypatch):
+    """With constant ratios the menus stay."""
+    monkeypatch.setattr(html_text, "smoothed", lambda ratios, sigma: np.ones(len(ratios)))
+    assert sum(main_text(page) != text for page, text in MENUS.items()) >= 3
+
+
+def test_smoothing_equals_brute_force():
+    rng = np.random.default_rng(3)
+    for sigma in (0.5, 1.0, 2.5):
+        for n in (1, 2, 7, 40):
+            ratios = rng.random(n) * 100
+            reach = int(np.ceil(3 * sigma))
+            want = []
+            for i in range(n):
+                weights = {j: np.exp(-0.5 * ((i - j) / sigma) ** 2) for j in range(max(0, i - reach), min(n, i + reach + 1))}
+                want.append(sum(w * ratios[j] for j, w in weights.items()) / sum(weights.values()))
+            assert np.allclose(html_text.smoothed(ratios, sigma), want)
+
+
 def test_pages_of_the_table(spark, small):
     """In these pages the article is marked, so a pattern finds it as well."""
     pages = spark.read.parquet(f"{small}/pages.parquet")
