@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from frostline.operators.work import work_windows, work_windows_expanded
 from frostline.plans import views
 from frostline.session import scratch_dir
 from frostline.sources.events import read_readings
-from frostline.sources.messages import decode, encode, quarantine
+from frostline.sources.messages import decode, decode_with_extra, encode, extra_json, quarantine
 from frostline.sources.tables import (
     compact_status,
     read_status,
@@ -39,7 +40,7 @@ from frostline.sources.tables import (
     write_changes,
     write_timeline,
 )
-from frostline.streaming import bounded, feeds, series, shared
+from frostline.streaming import bounded, clustered, feeds, series, shared
 from frostline.streaming.efficiency import efficiency_rolling_stream
 
 try:  # the training-data package may be left out
@@ -100,6 +101,16 @@ def _damaged_messages(spark, sf_dir) -> DataFrame:
     return encode(readings, "event_type").select("seq", damaged.alias("value"))
 
 
+def _decode_extra(spark, sf_dir):
+    """Messages that carry two keys besides those of a reading."""
+    readings = read_readings(spark, sf_dir, event_type=F.col("event_type"))
+    messages = encode(readings, "event_type")
+    added = F.concat(F.lit(',"site":{"kind":"'), "event_type", F.lit('"},"batch":'), F.col("seq") % 7, F.lit("}"))
+    text = F.concat(F.substring("value", F.lit(1), F.length("value") - 1), added)
+    decoded = decode_with_extra(messages.select("seq", text.alias("value")))
+    return _plain(decoded).withColumn("extra", extra_json(F.col("extra")))
+
+
 def _float32_time(spark, sf_dir):
     r = read_readings(spark, sf_dir)
     return r.select("seq", "device_id", float32_millis(F.col("time_ms")).alias("time_ms"))
@@ -325,6 +336,15 @@ def _stream_shared_timeline(spark, sf_dir):
     return stored.where(F.col("device_id") != bounded.END_DEVICE)
 
 
+def _stream_clustered(spark, sf_dir):
+    """What the stream has written, after every date has been clustered."""
+    folder = bounded.run_shared_over_events(spark, sf_dir, "stream-clustered")
+    clustered.cluster_closed_dates(spark, folder, date.max)
+    clustered.cluster_closed_dates(spark, folder, date.max)
+    stored = clustered.read_stream_timeline(spark, folder, ttl_seconds=None).drop("ts", "ingest_ts")
+    return stored.where(F.col("device_id") != bounded.END_DEVICE)
+
+
 def _stream_latency(spark, sf_dir):
     """Readings that the running stream's own sketches of delay have counted."""
     folder = bounded.run_shared_over_events(spark, sf_dir, "stream-latency")
@@ -409,7 +429,9 @@ def _sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_sparkline_temp": _stream_sparkline("temp"),
         "stream_sparkline_kw": _stream_sparkline("kw"),
         "stream_shared_timeline": _stream_shared_timeline,
+        "stream_clustered_timeline": _stream_clustered,
         "stream_latency": _stream_latency,
+        "decode_extra": _decode_extra,
         "stream_defrost": _stream(defrost_events, "stream-defrost"),
         "stream_door_alerts": _stream(feeds.door_stream, "stream-door"),
         "stream_work_windows": lambda s, d: _stream(feeds.windows_stream, "stream-work")(s, d).drop(
@@ -691,6 +713,12 @@ def _sensor_oracle_sql() -> dict[str, str]:
         "stream_sparkline_temp": _sparkline_sql("temp"),
         "stream_sparkline_kw": _sparkline_sql("kw"),
         "stream_shared_timeline": timeline,
+        "stream_clustered_timeline": timeline,
+        "decode_extra": _with(
+            (_READINGS,),
+            f"""SELECT {_READING_COLUMNS},
+                       '{{"batch":' || (seq % 7) || ',"site":{{"kind":"' || event_type || '"}}}}' AS extra FROM readings""",
+        ),
         "stream_latency": _with((_READINGS,), "SELECT count(*) AS readings, true AS in_order FROM readings"),
         "stream_defrost": defrost,
         "stream_door_alerts": door,

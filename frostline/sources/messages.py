@@ -79,8 +79,17 @@ def decode(
     return accepted(parse(messages, value, (seq,)), seq, mode, time_precision)
 
 
-def accepted(parsed: DataFrame, seq: str = "seq", mode: str = "PERMISSIVE", time_precision: str = "exact") -> DataFrame:
-    """readings of messages that :func:`parse` has decoded; see :func:`decode`."""
+def accepted(
+    parsed: DataFrame,
+    seq: str = "seq",
+    mode: str = "PERMISSIVE",
+    time_precision: str = "exact",
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """readings of messages that :func:`parse` has decoded; see :func:`decode`.
+
+    ``keep`` names further columns to go through.
+    """
     if mode not in ("PERMISSIVE", "FAILFAST"):
         raise ValueError(f"mode must be 'PERMISSIVE' or 'FAILFAST', not {mode!r}")
     good = ~_is_bad()
@@ -98,6 +107,7 @@ def accepted(parsed: DataFrame, seq: str = "seq", mode: str = "PERMISSIVE", time
         _field(S.JSON_SENSOR_VALUE_1).alias("temp"),
         _field(S.JSON_SENSOR_NAME_2).alias("sensor_name_2"),
         _field(S.JSON_SENSOR_VALUE_2).alias("kw"),
+        *keep,
     )
 
 
@@ -106,10 +116,47 @@ def quarantine(messages: DataFrame, value: str = "value", seq: str = "seq") -> D
     return rejected(parse(messages, value, (seq,)), seq)
 
 
-def rejected(parsed: DataFrame, seq: str = "seq") -> DataFrame:
+def rejected(parsed: DataFrame, seq: str = "seq", keep: tuple[str, ...] = ()) -> DataFrame:
     """S3: those among messages that :func:`parse` has decoded; see :func:`quarantine`."""
     reason = F.when(_malformed(), F.lit("malformed")).otherwise(F.lit("unusable field"))
-    return parsed.where(_is_bad()).select(F.col(seq).alias("seq"), "value", reason.alias("reason"))
+    return parsed.where(_is_bad()).select(F.col(seq).alias("seq"), "value", reason.alias("reason"), *keep)
+
+
+KNOWN_KEYS = (
+    S.JSON_TIME,
+    S.JSON_DEVICE_ID,
+    S.JSON_SENSOR_NAME_1,
+    S.JSON_SENSOR_VALUE_1,
+    S.JSON_SENSOR_NAME_2,
+    S.JSON_SENSOR_VALUE_2,
+)
+
+
+def with_extra(parsed: DataFrame) -> DataFrame:
+    """Q8: add ``extra``, the keys of a message that no column is for, as a VARIANT map.
+
+    Values keep their JSON types. Empty for a message without other keys, and NULL
+    for one that is no JSON object. ``parsed`` comes from :func:`parse`.
+    """
+    whole = F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>")
+    return parsed.withColumn("extra", F.map_filter(whole, lambda key, _: ~key.isin(*KNOWN_KEYS)))
+
+
+def decode_with_extra(messages: DataFrame, value: str = "value", seq: str = "seq", **options) -> DataFrame:
+    """:func:`decode`, with the other keys of each message in ``extra``."""
+    parsed = with_extra(parse(messages, value, (seq,)))
+    return accepted(parsed, seq, keep=("extra",), **options)
+
+
+def extra_json(extra: Column) -> Column:
+    """What :func:`with_extra` gives as JSON text, keys in order; NULL if there is nothing."""
+    entries = F.array_sort(F.map_keys(extra))
+    ordered = F.map_from_arrays(entries, F.transform(entries, lambda key: F.get(F.map_values(extra), _place(extra, key))))
+    return F.when(F.size(extra) > 0, F.to_json(ordered))
+
+
+def _place(extra: Column, key: Column) -> Column:
+    return (F.array_position(F.map_keys(extra), key) - 1).cast("int")
 
 
 def encode(readings: DataFrame, *keep: str) -> DataFrame:

@@ -116,6 +116,27 @@ def drop_expired_groups(path: str, as_of: datetime, ttl_seconds: int) -> list[st
     return expired
 
 
+def group_dates(path: str) -> dict[str, list[str]]:
+    """The dates in the ``batch_id=`` folders of ``path``, each with its folders."""
+    found: dict[str, list[str]] = {}
+    for group in _folders(path):
+        for folder in _folders(group):
+            if (day := folder.rpartition("ingest_date=")[2]) != folder:
+                found.setdefault(day, []).append(folder)
+    return found
+
+
+def complete_dates(path: str) -> list[str]:
+    """The dates of ``path`` whose write has come to its end."""
+    found = ((f, f.rpartition("ingest_date=")[2]) for f in _folders(path))
+    return sorted(day for folder, day in found if day != folder and _has_success(folder))
+
+
+def delete_folders(paths: list[str]) -> None:
+    for path in paths:
+        _delete(path)
+
+
 def is_complete(path: str) -> bool:
     """Whether a write to a folder has come to its end."""
     return _has_success(path)

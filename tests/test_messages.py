@@ -2,9 +2,11 @@ import json
 
 import pytest
 from helpers import readings, tuples
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frostline.operators.work import work_windows
+from frostline.sources import messages as M
 from frostline.sources.kafka import kafka_options, messages_from_records
 from frostline.sources.messages import decode, encode, quarantine
 from frostline.sources.replay import read_json_array
@@ -64,3 +66,26 @@ def test_json_array_file(spark, tmp_path):
     (tmp_path / "one.json").write_text(json.dumps(rows, indent=1))
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
     assert tuples(read_json_array(spark, str(tmp_path), schema), "a") == [(1,), (2,)]
+
+
+def test_other_keys_of_a_message_are_kept(spark, tmp_path):
+    good = '{"time": 5.0, "device-id": "a", "sensor-name-1": "temp", "sensor-value-1": 1.5, "sensor-name-2": "kws", "sensor-value-2": 2'
+    rows = [
+        (1, good + ', "z": [1, "two", null], "a": {"b": 1.5}, "t": true}'),
+        (2, good + "}"),
+        (3, '{"time": 5.0, "site": "x"}'),
+        (4, "{broken"),
+        (5, None),
+    ]
+    messages = spark.createDataFrame(rows, "seq long, value string")
+    got = M.decode_with_extra(messages)
+    plain = M.decode(messages)
+    assert sorted(map(tuple, got.drop("extra").collect())) == sorted(map(tuple, plain.collect()))
+    text = M.extra_json(F.col("extra"))
+    want = {1: '{"a":{"b":1.5},"t":true,"z":[1,"two",null]}', 2: None}
+    assert {r["seq"]: r["json"] for r in got.select("seq", text.alias("json")).collect()} == want
+    got.write.parquet(str(tmp_path / "kept"))  # and it can be stored
+    again = spark.read.parquet(str(tmp_path / "kept")).select("seq", text.alias("json"))
+    assert {r["seq"]: r["json"] for r in again.collect()} == want
+    bad = M.rejected(M.with_extra(M.parse(messages)), keep=("extra",)).select("seq", text.alias("json"))
+    assert {r["seq"]: r["json"] for r in bad.collect()} == {3: '{"site":"x"}', 4: None, 5: None}
