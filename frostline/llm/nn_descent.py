@@ -5,8 +5,10 @@ those it is dealt into blocks with, and improves it in rounds: neighbours of a r
 to be neighbours of each other, so each round compares the neighbours, both ways,
 that a sample of each row's list has, and keeps what is nearer than what was
 known. It ends when hardly any list changes. A query then walks the graph, each
-hop to all neighbours of the nearest rows it has not walked from; its scores are
-computed in double precision on the original vectors.
+hop to the neighbours of the nearest rows it has not walked from, until a hop finds
+nothing better; its scores are computed in double precision on the original vectors.
+Edges are walked forth, and back to a drawn sample of the rows that name one, so a
+row that very many name leads on to no more rows than any other.
 
 Rows move as numbers and lists. Vectors are sent once to each block of rows that
 asks for them, so a task holds the vectors that at most ``block_rows`` rows' lists
@@ -35,12 +37,12 @@ from frostline.llm.common import CELLS, positions, written
 NEIGHBOURS = 48
 SAMPLE = 24
 BLOCK_ROWS = 4096
+# Rows that are compared outright to start with: of most tables, a small part of all pairs.
+FIRST_ROWS = 512
 DEALS = 3
 LEAST_CHANGE = 0.002
-MOST_ROUNDS = 12
 BEAM = 128
 EXPANDED = 40
-HOPS = 4
 SEED = 11
 
 _PAIRS_AT_ONCE = 1 << 21
@@ -126,17 +128,17 @@ def _entries(rows: pa.Table, *columns: str) -> list[np.ndarray]:
 
 
 def first_graph(
-    nodes: DataFrame, block_rows: int, deals: int, neighbours: int, sample: int
+    nodes: DataFrame, block_rows: int, first_rows: int, deals: int, neighbours: int, sample: int
 ) -> DataFrame:
     """Every row's nearest rows among those it is dealt into a block with.
 
     Rows are dealt several times by different hashes, so that the blocks of one
     deal join those of another.
     """
-    blocks = nodes.agg(F.max("block")).first()[0] or 0
+    hands = -(-((nodes.agg(F.max("n")).first()[0] or 0) + 1) // first_rows)
     deal = F.explode(F.sequence(F.lit(0), F.lit(deals - 1)))
     dealt = nodes.select("n", "vec", deal.alias("deal")).withColumn(
-        "hand", F.pmod(F.xxhash64("n", "deal"), F.lit(blocks + 1))
+        "hand", F.pmod(F.xxhash64("n", "deal"), F.lit(hands))
     )
 
     def nearest(key: tuple, rows: pa.Table) -> pa.Table:
@@ -280,29 +282,45 @@ def improved(
 
 
 def neighbour_graph(
-    nodes: DataFrame, block_rows: int, *, neighbours: int, sample: int, rounds: int
+    nodes: DataFrame, block_rows: int, *, neighbours: int, sample: int, first_rows: int = FIRST_ROWS
 ) -> DataFrame:
-    graph = written(first_graph(nodes, block_rows, DEALS, neighbours, sample), "graph")
-    for turn in range(1, rounds + 1):
+    """Rounds go on for as long as more than ``LEAST_CHANGE`` of all entries change.
+
+    They come to an end, as entries are only ever replaced by nearer ones.
+    """
+    graph = written(first_graph(nodes, block_rows, first_rows, DEALS, neighbours, sample), "graph")
+    turn = 0
+    while True:
+        turn += 1
         graph = written(improved(graph, nodes, block_rows, neighbours, sample, turn), "graph")
         fresh = F.size(F.filter("state", lambda s: (s == NEW) | (s == NEW_SAMPLED)))
         changed, all_ = graph.agg(F.sum(fresh), F.sum(F.size("other"))).first()
         if not all_ or changed <= LEAST_CHANGE * all_:
-            break
-    return graph
+            return graph
+
+
+def walking_edges(graph: DataFrame, neighbours: int) -> DataFrame:
+    """``n``, ``other``: every row's list, and as many of the rows that name it, drawn by hash.
+
+    The sample is drawn before the shuffle as well, so a row that all others name
+    is no burden; a row has twice ``neighbours`` edges at most.
+    """
+    forth = graph.select("n", F.explode("other").alias("other"))
+    drawn = F.row_number().over(Window.partitionBy("n").orderBy(F.xxhash64("n", "other"), "other"))
+    back = forth.select(F.col("other").alias("n"), F.col("n").alias("other")).withColumn("drawn", drawn)
+    return forth.unionByName(back.where(F.col("drawn") <= neighbours).drop("drawn")).distinct()
 
 
 def walked(
     queries: DataFrame, graph: DataFrame, nodes: DataFrame, block_rows: int,
-    *, beam: int, expanded: int, hops: int,
+    *, most: int, neighbours: int, beam: int, expanded: int,
 ) -> DataFrame:
     """``query``, ``n``, ``id``, ``score`` of the best rows each query's walk has met.
 
-    ``queries`` has ``query``, its row's number, and ``own_vec``.
+    ``queries`` has ``query``, its row's number, and ``own_vec``. The walk ends when a
+    hop has changed no query's best ``most`` rows, or there is nowhere left to go.
     """
-    forth = graph.select("n", F.explode("other").alias("other"))
-    both = forth.unionByName(forth.select(F.col("other").alias("n"), F.col("n").alias("other")))
-    edges = written(both.distinct(), "edges")
+    edges = written(walking_edges(graph, neighbours), "edges")
     schema = "query long, n long, id long, score double"
 
     def score(key: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
@@ -325,23 +343,28 @@ def walked(
     best_first = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     reached = None
     starts = queries.select("query", F.col("query").alias("n"))
-    for hop in range(hops + 1):
+    hop = 0
+    while True:
         met = starts.join(edges, "n").where(F.col("other") != F.col("query")).select("query", "other").distinct()
         asked = met.withColumn("block", block_of(F.col("other"), block_rows)).groupBy("block", "query").agg(
             F.collect_list("other").alias("others")  # at most a block's rows
         )
         asked = asked.join(queries, "query")
         scored = asked.groupBy("block").cogroup(nodes.groupBy("block")).applyInArrow(score, schema)
-        scored = scored.withColumn("walked", F.lit(False))
+        scored = scored.withColumns({"walked": F.lit(False), "hop": F.lit(hop)})
         if reached is not None:
             left = reached.withColumn("walked", F.col("walked") | F.col("next")).drop("next", "rank")
             scored = left.unionByName(scored)
-            scored = scored.groupBy("query", "n", "id").agg(F.max("score").alias("score"), F.max("walked").alias("walked"))
+            scored = scored.groupBy("query", "n", "id").agg(
+                F.max("score").alias("score"), F.max("walked").alias("walked"), F.min("hop").alias("hop")
+            )
         ranked = scored.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= beam)
         waiting = F.row_number().over(Window.partitionBy("query", "walked").orderBy(F.desc("score"), "id"))
         reached = written(ranked.withColumn("next", ~F.col("walked") & (waiting <= expanded)), "beam")
+        if not reached.where((F.col("rank") <= most) & (F.col("hop") == hop)).limit(1).count():
+            return reached.select("query", "n", "id", "score")
         starts = reached.where("next").select("query", "n")
-    return reached.select("query", "n", "id", "score")
+        hop += 1
 
 
 def nearest(
@@ -354,19 +377,20 @@ def nearest(
     neighbours: int = NEIGHBOURS,
     sample: int = SAMPLE,
     block_rows: int = BLOCK_ROWS,
-    rounds: int = MOST_ROUNDS,
+    first_rows: int = FIRST_ROWS,
     beam: int = BEAM,
     expanded: int = EXPANDED,
-    hops: int = HOPS,
 ) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``id_col`` and ``score`` of each query's nearest.
 
     ``is_query`` is a condition on ``id``.
     """
     nodes = usable(vectors, id_col, vector_col).withColumn("block", block_of(F.col("n"), block_rows))
-    graph = neighbour_graph(nodes, block_rows, neighbours=neighbours, sample=sample, rounds=rounds)
+    graph = neighbour_graph(nodes, block_rows, neighbours=neighbours, sample=sample, first_rows=first_rows)
     queries = nodes.where(is_query).select(F.col("n").alias("query"), F.col("vec").alias("own_vec"))
-    found = walked(queries, graph, nodes, block_rows, beam=max(beam, most), expanded=expanded, hops=hops)
+    found = walked(
+        queries, graph, nodes, block_rows, most=most, neighbours=neighbours, beam=max(beam, most), expanded=expanded
+    )
     best_first = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= most)
     names = nodes.select(F.col("n").alias("query"), F.col("id").alias("query_id"))
