@@ -30,7 +30,7 @@ from frostline.operators.timeline import (
 )
 from frostline.operators.work import work_windows, work_windows_expanded
 from frostline.plans import views
-from frostline.session import scratch_dir
+from frostline.session import scratch_dir, stream_session
 from frostline.sources.events import read_readings
 from frostline.sources.messages import decode, decode_with_extra, encode, extra_json, quarantine
 from frostline.sources.tables import (
@@ -40,7 +40,7 @@ from frostline.sources.tables import (
     write_changes,
     write_timeline,
 )
-from frostline.streaming import bounded, clustered, feeds, series, shared
+from frostline.streaming import bounded, clustered, feeds, series, shared, status
 from frostline.streaming.efficiency import efficiency_rolling_stream
 
 try:  # the training-data package may be left out
@@ -345,6 +345,17 @@ def _stream_clustered(spark, sf_dir):
     return stored.where(F.col("device_id") != bounded.END_DEVICE)
 
 
+def _stream_status_state(spark, sf_dir):
+    """The change log, written in three batches, kept as state and read from there."""
+    folder = scratch_dir(spark, "status-state")
+    changes = status_changes(read_readings(spark, sf_dir))
+    for batch in range(3):
+        third = changes.where(F.pmod(F.col("time_ms"), F.lit(3)) == batch)
+        write_changes(third, f"{folder}/{shared.STATUS}", "all", batch)
+    status.keep_status(status.changes_stream(stream_session(spark), folder), folder, available_now=True).awaitTermination()
+    return status.read_status_state(spark, folder)
+
+
 def _stream_latency(spark, sf_dir):
     """Readings that the running stream's own sketches of delay have counted."""
     folder = bounded.run_shared_over_events(spark, sf_dir, "stream-latency")
@@ -431,6 +442,7 @@ def _sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_shared_timeline": _stream_shared_timeline,
         "stream_clustered_timeline": _stream_clustered,
         "stream_latency": _stream_latency,
+        "stream_status_state": _stream_status_state,
         "decode_extra": _decode_extra,
         "stream_defrost": _stream(defrost_events, "stream-defrost"),
         "stream_door_alerts": _stream(feeds.door_stream, "stream-door"),
@@ -713,6 +725,7 @@ def _sensor_oracle_sql() -> dict[str, str]:
         "stream_sparkline_temp": _sparkline_sql("temp"),
         "stream_sparkline_kw": _sparkline_sql("kw"),
         "stream_shared_timeline": timeline,
+        "stream_status_state": status,
         "stream_clustered_timeline": timeline,
         "decode_extra": _with(
             (_READINGS,),

@@ -19,7 +19,7 @@ COMPACT_EVERY = 100
 SHARED, CHECKPOINTS = "shared", "checkpoints"
 
 
-def _triggered(writer: DataStreamWriter, root: str, name: str, available_now: bool) -> StreamingQuery:
+def triggered(writer: DataStreamWriter, root: str, name: str, available_now: bool) -> StreamingQuery:
     """Every query has a checkpoint of its own; batches follow a clock."""
     writer = writer.queryName(name).option("checkpointLocation", f"{root}/{CHECKPOINTS}/{name}")
     if available_now:
@@ -35,7 +35,7 @@ def append_files(
     writer = stream.writeStream.format("parquet").outputMode("append").options(**options)
     if partitions:
         writer = writer.partitionBy(*partitions)
-    return _triggered(writer.option("path", f"{root}/{name}"), root, name, available_now)
+    return triggered(writer.option("path", f"{root}/{name}"), root, name, available_now)
 
 
 def append_changes(feed: DataFrame, root: str, name: str, available_now: bool = False) -> StreamingQuery:
@@ -44,7 +44,7 @@ def append_changes(feed: DataFrame, root: str, name: str, available_now: bool =
     def write(batch: DataFrame, batch_id: int) -> None:
         write_changes(batch, f"{root}/{STATUS}", name, batch_id)
 
-    return _triggered(feed.writeStream.foreachBatch(write), root, f"status-{name}", available_now)
+    return triggered(feed.writeStream.foreachBatch(write), root, f"status-{name}", available_now)
 
 
 def update_files(updates: DataFrame, root: str, name: str, available_now: bool = False) -> StreamingQuery:
@@ -53,7 +53,7 @@ def update_files(updates: DataFrame, root: str, name: str, available_now: bool =
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
 
-    return _triggered(updates.writeStream.outputMode("update").foreachBatch(write), root, name, available_now)
+    return triggered(updates.writeStream.outputMode("update").foreachBatch(write), root, name, available_now)
 
 
 def append_shared(
@@ -77,7 +77,7 @@ def append_shared(
             compact_status(batch.sparkSession, f"{root}/{STATUS}")
             drop_expired_batches(root, None, ttl_seconds, quarantine_seconds)
 
-    return _triggered(messages.writeStream.foreachBatch(write), root, SHARED, available_now)
+    return triggered(messages.writeStream.foreachBatch(write), root, SHARED, available_now)
 
 
 def run_streams(
