@@ -30,9 +30,11 @@ from frostline.operators.timeline import (
 )
 from frostline.operators.work import work_windows, work_windows_expanded
 from frostline.plans import views
+from frostline.schema import READING_SCHEMA
 from frostline.session import scratch_dir, stream_session
-from frostline.sources.events import read_readings
+from frostline.sources.events import EPOCH_MS, MICROS_PER_MS, read_readings
 from frostline.sources.messages import decode, decode_with_extra, encode, extra_json, quarantine
+from frostline.sources.replay import replay_stream
 from frostline.sources.tables import (
     compact_status,
     read_status,
@@ -40,7 +42,7 @@ from frostline.sources.tables import (
     write_changes,
     write_timeline,
 )
-from frostline.streaming import bounded, clustered, feeds, series, shared, status
+from frostline.streaming import bounded, clustered, feeds, latest, series, shared, status
 from frostline.streaming.efficiency import efficiency_rolling_stream
 
 try:  # the training-data package may be left out
@@ -62,6 +64,8 @@ STABLE_SCALE = 100
 SCAN_BUCKET_MS = 20_000
 SKETCH_SPAN_MS = 10_000
 BACKWARD_MS = 5_000
+# Short enough that some devices have expired by the end.
+LATEST_TTL_SECONDS = 2 * 86_400
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -356,6 +360,19 @@ def _stream_status_state(spark, sf_dir):
     return status.read_status_state(spark, folder)
 
 
+def _stream_latest_state(spark, sf_dir):
+    """The latest readings not yet expired, from state; events were written when they say."""
+    folder = scratch_dir(spark, "latest-state")
+    written_ms = (F.col("time_ms") - EPOCH_MS) * (MICROS_PER_MS // 1000) + EPOCH_MS
+    readings = read_readings(spark, sf_dir)
+    files = bounded.write_slices(readings, f"{folder}/readings")
+    stream = replay_stream(stream_session(spark), f"{folder}/readings", READING_SCHEMA, files_per_trigger=files)
+    stream = stream.where(F.col("device_id") != bounded.END_DEVICE).withColumn("ingest_ms", written_ms)
+    latest.keep_latest(stream, folder, LATEST_TTL_SECONDS, available_now=True).awaitTermination()
+    end = readings.agg(F.max(written_ms)).first()[0] or 0
+    return latest.read_latest_state(spark, folder, F.lit(end), LATEST_TTL_SECONDS)
+
+
 def _stream_latency(spark, sf_dir):
     """Readings that the running stream's own sketches of delay have counted."""
     folder = bounded.run_shared_over_events(spark, sf_dir, "stream-latency")
@@ -442,6 +459,7 @@ def _sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_shared_timeline": _stream_shared_timeline,
         "stream_clustered_timeline": _stream_clustered,
         "stream_latency": _stream_latency,
+        "stream_latest_state": _stream_latest_state,
         "stream_status_state": _stream_status_state,
         "decode_extra": _decode_extra,
         "stream_defrost": _stream(defrost_events, "stream-defrost"),
@@ -724,6 +742,14 @@ def _sensor_oracle_sql() -> dict[str, str]:
         "stream_backward_times": backward,
         "stream_sparkline_temp": _sparkline_sql("temp"),
         "stream_sparkline_kw": _sparkline_sql("kw"),
+        "stream_latest_state": _with(
+            (_READINGS.replace("readings AS", "unwritten AS", 1),
+             """readings AS (SELECT *, 1704067200000 + (time_ms - 1704067200000) * 10000 AS ingest_ms FROM unwritten)""",
+             f"""fresh AS (SELECT * FROM readings
+                           WHERE ingest_ms > (SELECT max(ingest_ms) FROM readings) - {LATEST_TTL_SECONDS} * 1000)"""),
+            f"""SELECT {_READING_COLUMNS} FROM fresh
+                QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY time_ms DESC, seq DESC) = 1""",
+        ),
         "stream_shared_timeline": timeline,
         "stream_status_state": status,
         "stream_clustered_timeline": timeline,
