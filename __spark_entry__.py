@@ -64,8 +64,8 @@ STABLE_SCALE = 100
 SCAN_BUCKET_MS = 20_000
 SKETCH_SPAN_MS = 10_000
 BACKWARD_MS = 5_000
-# Short enough that some devices have expired by the end.
-LATEST_TTL_SECONDS = 2 * 86_400
+# Short enough that most devices have expired by the end.
+LATEST_TTL_SECONDS = 6 * 3_600
 
 
 def entry(spark: SparkSession) -> DataFrame:
