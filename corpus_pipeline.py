@@ -6,7 +6,7 @@ All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frostline.llm import packing, quality_classifier, quality_rules, simhash
@@ -14,12 +14,23 @@ from frostline.llm.common import written
 from frostline.llm.queries import mixed_documents, table
 
 
+READ = ("doc_id", "text", "lang", "source")
+
+
+def apart(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """Documents with all columns that no stage reads under names that no result has,
+    and the columns to select to have them back."""
+    names = {c: c if c in READ else f"own_{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(c).alias(n) for c, n in names.items()])
+    return renamed, [F.col(n).alias(c) for c, n in names.items()]
+
+
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    rows, back = apart(docs)
     trusted = quality_rules.trusted_by_labels(table(spark, sf_dir, "labels"))
-    others = tuple(c for c in docs.columns if c not in ("doc_id",))
-    judged = quality_rules.quality_rules(docs, trusted, carry=others)
-    return judged.where("kept").select(*docs.columns)
+    others = tuple(c for c in rows.columns if c != "doc_id")
+    return quality_rules.quality_rules(rows, trusted, carry=others).where("kept").select(*back)
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,10 +38,11 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     It learns from the labelled rows of the table, as the rules drop most bad ones.
     """
-    others = tuple(c for c in docs.columns if c not in ("doc_id",))
+    rows, back = apart(docs)
+    others = tuple(c for c in rows.columns if c != "doc_id")
     labels, all_docs = table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents")
-    scored = quality_classifier.quality_scores(docs, labels, carry=others, fit_on=all_docs)
-    return scored.where("predicted = 1").select(*docs.columns)
+    scored = quality_classifier.quality_scores(rows, labels, carry=others, fit_on=all_docs)
+    return scored.where("predicted = 1").select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +56,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents chosen to meet the target weights."""
-    return mixed_documents(docs).select(*docs.columns)
+    rows, back = apart(docs)
+    return mixed_documents(rows).select(*back)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
