@@ -128,3 +128,19 @@ def test_empty_and_odd_documents(spark, documents, no_documents):
             assert docs.columns == columns, name
         packed = pipeline.STAGES[-1][1](spark, docs, SF)
         assert set(ids(packed)) == set(ids(docs))
+
+
+def test_columns_whose_names_clash_go_through(spark, documents):
+    """Names that operators use inside, beside those of documents."""
+    names = ("id", "score", "label", "size", "tokens", "salt", "key_0", "carried_0", "component_id", "kept")
+    docs = documents.select("doc_id", "text", "lang", "source", "n_chars")
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    columns = docs.columns
+    for stage_name, stage in pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SF), "clash-stage")
+        assert docs.columns == columns, stage_name
+        for r in docs.collect():
+            assert all(r[n] == f"{n} of {'none' if r['doc_id'] is None else r['doc_id']}" for n in names), stage_name
+    packed = pipeline.STAGES[-1][1](spark, docs, SF)
+    assert set(ids(packed)) == set(ids(docs)) and ids(docs)
