@@ -32,11 +32,13 @@ def mix_one(x: int) -> np.uint64:
     return mix(np.array([x], dtype=np.uint64))[0]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """A batch in row ranges of about ``SLICE_CHARS``; nulls become empty texts."""
+def slices(
+    batch: pa.RecordBatch, column: str = "text", chars: int = SLICE_CHARS
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """A batch in row ranges of about ``chars``; nulls become empty texts."""
     values = batch.column(column)
     lengths = np.asarray(pc.binary_length(values).fill_null(0)).astype(np.int64)
-    group = np.cumsum(lengths) // SLICE_CHARS
+    group = np.cumsum(lengths) // chars
     cuts = np.flatnonzero(np.diff(group, prepend=-1)) if len(group) else []
     for start, stop in zip(cuts, [*cuts[1:], len(group)]):
         part = batch.slice(int(start), int(stop - start))

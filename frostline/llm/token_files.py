@@ -46,12 +46,13 @@ SEQUENCE = 2048
 BATCH_SEQUENCES = 64
 # Encoded pieces that a worker remembers, in each of two generations.
 REMEMBERED = 800_000
+# Characters that are encoded together.
+TEXT_AT_ONCE = 1 << 22
 INDEX = "file long, path string, id {id}, start long, n_tokens long"
 
-# Where cutting at every space could change what the pre-tokenizer sees: more than
-# one white-space character in a row, with a space that is not the last of them.
-_DOUBTFUL = re.compile(r" \s|\s\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
+# Texts that are cut with more care: two white-space characters in a row, or a zero.
+_DOUBTFUL = r"[\p{Z}\x09-\x0D\x1C-\x1F\x{85}]{2}|\x00"
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
 
 # Never part of a word, and never joined to letters by the pre-tokenizer.
@@ -69,13 +70,45 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b if b in printable else next(others)) for b in range(256)}
 
 
+def spans(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places ``first``, ``first + 1``, ... of every span in a row."""
+    ends = np.cumsum(counts)
+    return np.repeat(firsts - ends + counts, counts) + np.arange(counts.sum())
+
+
+class Learned:
+    """Numbers of pieces, and the ids of each number in one array."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids = np.zeros(0, dtype="<u4")
+        self.firsts = self.counts = np.zeros(0, dtype=np.int64)
+
+    def add(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        """Pieces that are not there yet; ``ids`` are those of all, in their order."""
+        at = len(self.number)
+        self.number.update(zip(pieces, range(at, at + len(pieces))))
+        self.firsts = np.concatenate([self.firsts, len(self.ids) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.ids = np.concatenate([self.ids, ids.astype("<u4", copy=False)])
+
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+
+    def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered pieces in a row, and how many each has."""
+        counts = self.counts[numbers]
+        return self.ids[spans(self.firsts[numbers], counts)], counts
+
+
 class Encoder:
     """Token ids of texts as little-endian 32-bit numbers.
 
-    A byte-level pre-tokenizer never joins a space to the character before it,
-    so texts are cut there, and pieces seen lately are not encoded again. New
-    pieces that are letters and then marks need no pre-tokenizer: they go to
-    the tokenizer's model in its own alphabet, many at once.
+    A byte-level pre-tokenizer never joins white space to a character before it
+    that is none, so texts are cut there, and pieces seen lately are not encoded
+    again. Of new pieces that are letters and then marks, both parts need no
+    pre-tokenizer: they go to the tokenizer's model in its own alphabet, many at
+    once. Pieces are found, told apart and put together again by whole columns.
     """
 
     def __init__(self, tokenizer_path: str) -> None:
@@ -95,63 +128,88 @@ class Encoder:
         self.words = Tokenizer(self.tokenizer.model)
         self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.alphabet = str.maketrans({chr(b): c for b, c in byte_alphabet().items() if b != 10})
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        if _DOUBTFUL.search(text):
-            return _CUT.split(text)
-        return text.replace(" ", "\0 ").split("\0") if "\0" not in text else _CUT.split(text)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        vocabulary = self.words.get_vocab(with_added_tokens=False)
+        self.octets = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        self.octets[list(vocabulary.values())] = [len(x) for x in vocabulary]  # a character each
+        self.known, self.older = Learned(), Learned()
+
+    def pieces(self, texts: list[str]) -> pa.LargeListArray:
+        """Every text's pieces. A text that has a zero is one piece."""
+        column = pa.array(texts, pa.large_string())
+        doubtful = pc.match_substring_regex(column, _DOUBTFUL)
+        column = pc.replace_substring(column, " ", "\0 ")
+        column = pc.replace_substring(column, "\n", "\0\n\0")
+        cut = pc.split_pattern(column, "\0")
+        places = np.flatnonzero(doubtful.to_numpy(zero_copy_only=False))
+        if not len(places):
+            return cut
+        by_hand = [[texts[i]] if "\0" in texts[i] else _CUT.split(texts[i]) for i in places]
+        order = np.arange(len(texts))
+        order[places] = len(texts) + np.arange(len(places))
+        return pa.concat_arrays([cut, pa.array(by_hand, cut.type)]).take(pa.array(order))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.byte_level:
             found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-        cut = [self.pieces(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        unknown = set().union(*cut).difference(known)
-        new = unknown.difference(older)
-        for p in unknown.intersection(older):
-            known[p] = older[p]
-        self.learn(list(new))
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+            return [np.array(x.ids, dtype="<u4") for x in found]
+        cut = self.pieces(texts)
+        coded = cut.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known.number) > REMEMBERED:
+            self.known, self.older = Learned(), self.known
+        self.learn(self.recalled(distinct))
+        ids, counts = self.known.ids_of(self.known.numbers(distinct)[coded.indices.to_numpy()])
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        bounds = bounds[np.concatenate([[0], np.cumsum(cut.value_lengths().to_numpy())])].tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def recalled(self, pieces: list[str]) -> list[str]:
+        """Those of different pieces that are not known, nor were before."""
+        unknown = [p for p in pieces if p not in self.known.number]
+        old = [p for p in unknown if p in self.older.number]
+        if old:
+            self.known.add(old, *self.older.ids_of(self.older.numbers(old)))
+            unknown = [p for p in unknown if p not in self.known.number]
+        return unknown
 
     def learn(self, new: list[str]) -> None:
-        known, simple, last, words, odd = self.known, [], [], [], []
+        odd, words, marked, cores, marks = [], [], [], [], []
         for p in new:
             core = p.rstrip(_MARKS)
-            letters = core[1:] if core[:1] == " " else core
-            if not letters.isalpha():
+            if not (core[1:] if core[:1] == " " else core).isalpha():
                 odd.append(p)
             elif len(core) == len(p):
-                words.append(core)
-                simple.append(p)
-                last.append(len(words))
+                words.append(p)
             elif any([s in p for s in self.special]):
                 odd.append(p)
             else:
-                words.append(core)
-                words.append(p[len(core) :])
-                simple.append(p)
-                last.append(len(words))
-        for p, found in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            known[p] = np.array(found.ids, dtype="<u4").tobytes()
+                marked.append(p)
+                cores.append(core)
+                marks.append(p[len(core) :])
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)]
+        counts = np.array([len(x) for x in found], dtype=np.int64)
+        self.known.add(odd, np.array([i for x in found for i in x], dtype="<u4"), counts)
+        self.learn_words(words)
+        self.learn_words(self.recalled(list({*cores, *marks})))
+        numbers = np.stack([self.known.numbers(cores), self.known.numbers(marks)], axis=1)
+        ids, counts = self.known.ids_of(numbers.ravel())
+        self.known.add(marked, ids, counts[::2] + counts[1::2])
+
+    def learn_words(self, words: list[str]) -> None:
+        """Pieces that the pre-tokenizer leaves whole and that have no line break.
+
+        Lengths in bytes, of words and of tokens, tell where a word's ids end.
+        """
+        if not words:
+            return
         lines = []
-        for at in range(0, len(words), 500):
-            lines.append("\n".join(words[at : at + 500]).encode().decode("latin-1").translate(self.alphabet))
-        ids, ends, total = [], [], 0
-        for line in self.words.encode_batch(lines, add_special_tokens=False):
-            ids += line.ids
-            number = np.fromiter(line.word_ids, dtype=np.int64, count=len(line.ids))
-            ends.append(total + np.flatnonzero(np.diff(number, append=-1)) + 1)
-            total += len(number)
-        if simple:
-            octets = np.array(ids, dtype="<u4").tobytes()
-            ends = (4 * np.concatenate(ends)[np.array(last) - 1]).tolist()
-            for p, start, end in zip(simple, [0, *ends], ends):
-                known[p] = octets[start:end]
+        for at in range(0, len(words), 200):
+            lines.append("\n".join(words[at : at + 200]).encode().decode("latin-1").translate(self.alphabet))
+        found = self.words.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.array(x.ids, dtype="<u4") for x in found])
+        lengths = pc.binary_length(pa.array(words, pa.large_string())).to_numpy()
+        ends = np.searchsorted(np.cumsum(self.octets[ids]), np.cumsum(lengths)) + 1
+        self.known.add(words, ids, np.diff(ends, prepend=0))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -263,14 +321,14 @@ def write_tokens(
         number = TaskContext.get().partitionId()
         path = f"{folder}/tokens-{number:06d}-{uuid.uuid4().hex}.arrow"
         for batch in batches:
-            for part, texts in slices(batch):
+            for part, texts in slices(batch, chars=TEXT_AT_ONCE):
                 if out is None:
                     encoder = encoder_for(tokenizer_path)
                     local, inner = pyarrow.fs.FileSystem.from_uri(folder)
                     local.create_dir(inner, recursive=True)
                     narrow = max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
                     out = SequenceFile(path, length, batch_sequences, narrow)
-                found = [np.frombuffer(x, dtype="<u4") for x in encoder.encode(texts)]
+                found = encoder.encode(texts)
                 counts = np.array([len(x) + 1 for x in found])
                 starts = out.total + np.cumsum(counts) - counts
                 end = np.array([end_id], dtype="<u4")

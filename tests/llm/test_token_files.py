@@ -27,6 +27,18 @@ def test_pieces_encode_like_whole_texts(tokenizer):
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want  # from what it remembers
 
 
+def test_pieces_that_were_forgotten(tokenizer, monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 300)
+    rng = random.Random(2)
+    parts = ["alpha", "béta", ",", "...", " ", " ", "\n", "\n\n", "\0", "\u3000", "_x", "½", "7", "<|endoftext|>", "語"]
+    encoder = token_files.Encoder(tokenizer_path())
+    for _ in range(40):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(50)]
+        want = [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in encoder.encode(texts)] == want
+    assert len(encoder.older.number) > 300
+
+
 @pytest.mark.parametrize("length,batch", [(8, 2), (2048, 64)])
 def test_round_trip(documents, tokenizer, length, batch):
     rows = [(r["doc_id"], r["text"] or "") for r in documents.select("doc_id", "text").collect()]
