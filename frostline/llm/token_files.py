@@ -45,9 +45,9 @@ from frostline.session import scratch_dir
 SEQUENCE = 2048
 BATCH_SEQUENCES = 64
 # Encoded pieces that a worker remembers, in each of two generations.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 # Characters that are encoded together.
-TEXT_AT_ONCE = 1 << 22
+TEXT_AT_ONCE = 1 << 21
 INDEX = "file long, path string, id {id}, start long, n_tokens long"
 
 # Texts that are cut with more care: two white-space characters in a row, or a zero.
