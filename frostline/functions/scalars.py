@@ -1,8 +1,5 @@
-"""Column-to-column functions (F2, F3, F6, F10-F16). All but F14 stay in the JVM."""
+"""Column-to-column functions (F2, F3, F6, F10-F16). All stay in the JVM."""
 
-from decimal import ROUND_HALF_UP, Decimal, localcontext
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +7,8 @@ from frostline.schema import HTTP_DATE_FORMAT
 
 # The largest double that is also a 64-bit whole number.
 LARGEST_LONG = float(2**63 - 1024)
+# Powers of ten up to this one are doubles without rounding.
+LARGEST_EXACT_POWER = 22
 
 
 def whole_millis(time: Column) -> Column:
@@ -48,24 +47,47 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
 def significant_digits(value: Column, digits: int = 4) -> Column:
     """round the exact value to significant digits, halves away from zero.
 
-    The JVM's own formatting rounds the shortest decimal text of a double, which
-    is another number just below or above a half.
+    The JVM's formatting rounds the shortest decimal text of a double. That is on
+    the same side of a half as the exact value, unless the text is the half itself;
+    there the exact value is compared with it. Exact for values from 1e-17 to 1e26,
+    zero and what is not finite; outside, such a half goes away from zero.
     """
-
-    @F.pandas_udf("double")
-    def rounded(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: _rounded(v, digits), na_action="ignore")
-
-    return rounded(value)
-
-
-def _rounded(value: float, digits: int) -> float:
-    exact = Decimal(value)
-    if not exact or not exact.is_finite():
-        return value
-    step = Decimal(1).scaleb(exact.adjusted() - digits + 1)
-    with localcontext(prec=digits + 2):
-        return float(exact.quantize(step, rounding=ROUND_HALF_UP))
+    size = F.abs(value)
+    text = F.format_string(f"%.{digits}e", size)  # a digit more than asked for
+    half = F.regexp_like(text, F.lit("5e")) & (text.try_cast("double") == size)
+    number = F.replace(F.substring_index(text, "e", 1), F.lit(".")).try_cast("bigint")
+    exponent = F.substring_index(text, "e", -1).try_cast("int") - digits
+    up = _at_least(size, number.cast("double"), exponent)
+    kept = F.call_function("div", number, F.lit(10)) + up.cast("bigint")
+    rounded = F.concat_ws("e", kept.cast("string"), (exponent + 1).cast("string")).try_cast("double")
+    plain = F.format_string(f"%.{digits - 1}e", value).try_cast("double")
+    return F.when(half, F.when(value < 0, -rounded).otherwise(rounded)).when(value.isNotNull(), plain)
+
+
+def _at_least(size: Column, number: Column, exponent: Column) -> Column:
+    """Whether ``size >= number * 10 ** exponent``, of the exact values."""
+    power = F.pow(F.lit(10.0), F.least(F.abs(exponent), F.lit(LARGEST_EXACT_POWER)).cast("double"))
+    shrunk, rest = _product(size, power)
+    below_one = (shrunk > number) | ((shrunk == number) & (rest >= 0))
+    grown, over = _product(number, power)
+    above_one = (size > grown) | ((size == grown) & (over <= 0))
+    exact = F.abs(exponent) <= LARGEST_EXACT_POWER
+    return ~exact | F.when(exponent < 0, below_one).otherwise(above_one)
+
+
+def _product(a: Column, b: Column) -> tuple[Column, Column]:
+    """A product of doubles, and what its rounding has left out."""
+    (a_high, a_low), (b_high, b_low) = _halves(a), _halves(b)
+    product = a * b
+    rest = a_high * b_high - product + a_high * b_low + a_low * b_high + a_low * b_low
+    return product, rest
+
+
+def _halves(value: Column) -> tuple[Column, Column]:
+    """A double as two of at most 26 bits, whose products are exact."""
+    scaled = value * F.lit(float(2**27 + 1))
+    high = scaled - (scaled - value)
+    return high, value - high
 
 
 def first_element(array: Column, field: str) -> Column:

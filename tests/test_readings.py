@@ -2,7 +2,7 @@
 
 import math
 import random
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from helpers import readings, tuples
@@ -178,6 +178,26 @@ def test_four_significant_digits_of_the_exact_value(spark, value, shown):
     assert got == shown
 
 
+def test_four_digits_equal_decimal_arithmetic(spark):
+    def exact(value):
+        wanted = Decimal(value)
+        step = Decimal(1).scaleb(wanted.adjusted() - 3)
+        with localcontext(prec=800):
+            return float(wanted.quantize(step, rounding=ROUND_HALF_UP))
+
+    rng = random.Random(3)
+    halves = [float(f"{rng.choice('-+')}{rng.randint(1000, 9999)}5e{rng.randint(-21, 21)}") for _ in range(4000)]
+    near = [math.nextafter(v, rng.choice((0.0, math.inf, -math.inf))) for v in halves]
+    others = [rng.uniform(-10, 10) * 10.0 ** rng.randint(-300, 300) for _ in range(2000)]
+    values = halves + near + others
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    got = rows.select("v", significant_digits(F.col("v"))).collect()
+    assert [tuple(r) for r in got if r[1] != exact(r[0])] == []
+    assert len(got) == len(values)
+    nan, zero = spark.createDataFrame([(math.nan,), (-0.0,)], "v double").select(significant_digits(F.col("v"))).collect()
+    assert math.isnan(nan[0]) and math.copysign(1, zero[0]) == -1
+
+
 def test_sinusoid_closed_form(spark):
     """Rising where the cosine is positive, in steps of more than one degree."""
     times = range(0, 62_832, 1000)
