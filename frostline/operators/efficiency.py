@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frostline.functions import safe_divide
-from frostline.operators.previous import BUCKET, bucket_of
+from frostline.operators.previous import BUCKET, bucket_of, dealt
 from frostline.schema import EFFICIENCY_SCALE
 
 WINDOWS_BUCKET_MS = 600_000
@@ -19,15 +19,20 @@ def efficiency_delta(windows: DataFrame, bucket_ms: int = WINDOWS_BUCKET_MS) ->
 
     Windows are put in order within a bucket of time. Before the first one of a
     bucket comes the last one of the device's bucket before, so what is ordered
-    by device alone is one row for each of its buckets.
+    by device alone is one row for each of its buckets. Windows that name their
+    bucket already, as ``work_windows`` can, stay where they are.
     """
-    placed = windows.withColumn(BUCKET, bucket_of(F.col("window_end_ms"), bucket_ms))
     keys = ["device_id", BUCKET]
-    lasts = placed.groupBy(*keys).agg(F.max(F.struct("window_end_ms", "temp")).alias("last"))
+    placed = windows
+    if BUCKET not in windows.columns:
+        placed = windows.withColumn(BUCKET, bucket_of(F.col("window_end_ms"), bucket_ms))
+    # Plain numbers, so that this is a hash aggregate, which sorts nothing.
+    lasts = placed.groupBy(*keys).agg(F.max_by("temp", "window_end_ms").alias("last"))
     by_bucket = Window.partitionBy("device_id").orderBy(BUCKET)
-    carried = lasts.select(*keys, F.lag("last.temp").over(by_bucket).alias("carried"))
+    carried = lasts.select(*keys, F.lag("last").over(by_bucket).alias("carried"))
     inside = Window.partitionBy(*keys).orderBy("window_end_ms")
-    linked = placed.select(
+    together = placed if BUCKET in windows.columns else dealt(placed, *keys)
+    linked = together.select(
         *keys,
         "window_end_ms",
         "temp",
@@ -80,7 +85,7 @@ def efficiency_rolling(windows: DataFrame) -> DataFrame:
     Windows are first brought together by device and then sorted, which the
     grouping keeps; sorted before an exchange, they would lose their order.
     """
-    together = windows.select("device_id", "window_end_ms", "temp", "work").repartition("device_id")
+    together = dealt(windows.select("device_id", "window_end_ms", "temp", "work"), "device_id")
     ordered = together.sortWithinPartitions("device_id", "window_end_ms")
     return ordered.groupBy("device_id").applyInArrow(_fold_batches, EFFICIENCY_SCHEMA)
 

@@ -24,6 +24,16 @@ def bucket_of(time: Column, width_ms: int) -> Column:
     return F.call_function("div", time - F.pmod(time, F.lit(width_ms)), F.lit(width_ms))
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a key together, in as many partitions as the session shuffles into.
+
+    Sorted rows of panes and windows take some fifty times the bytes they have been
+    shuffled in. Adaptive execution joins partitions by the latter, into tasks that
+    hold gigabytes; it leaves a number that is asked for as it is.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def with_carried(
     df: DataFrame, within_ms: int, bucket_ms: int = BUCKET_MS, time: str = "time_ms"
 ) -> DataFrame:

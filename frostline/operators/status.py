@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from frostline.operators.defrost import defrost_events
@@ -16,13 +16,14 @@ FLAGS = ["door_open", "defrosted", "efficiency"]
 
 def as_changes(feed: DataFrame) -> DataFrame:
     """A feed that sets one status column, in the shape all changes share."""
-    columns = feed.columns
-    return feed.select(
-        *[
-            (F.col(f.name) if f.name in columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in STATUS_CHANGE_SCHEMA.fields
-        ]
-    )
+    return feed.select(*_change_columns(feed.columns))
+
+
+def _change_columns(columns: list[str]) -> list[Column]:
+    return [
+        (F.col(f.name) if f.name in columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in STATUS_CHANGE_SCHEMA.fields
+    ]
 
 
 def efficiency_changes(efficiency: DataFrame) -> DataFrame:
@@ -40,8 +41,8 @@ def union_changes(*feeds: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [as_changes(f) for f in feeds])
 
 
-def latest_changes(changes: DataFrame) -> DataFrame:
-    """A5: per device and column, the last value set, with its own time.
+def latest_changes(changes: DataFrame, *also: str) -> DataFrame:
+    """A5: per device (and ``also``) and column, the last value set, with its own time.
 
     Combines on the map side, so the shuffle carries a row per device and task.
     The result can be folded again with further changes.
@@ -51,7 +52,7 @@ def latest_changes(changes: DataFrame) -> DataFrame:
         F.expr(f"max(struct({order} AS at, {c} AS v)) FILTER (WHERE {c} IS NOT NULL)").alias(c)
         for c in FLAGS
     ]
-    return changes.groupBy("device_id").agg(*last)
+    return changes.groupBy("device_id", *also).agg(*last)
 
 
 def fold_status(changes: DataFrame) -> DataFrame:
@@ -60,12 +61,14 @@ def fold_status(changes: DataFrame) -> DataFrame:
     return folded.select("device_id", *[F.col(c)["v"].alias(c) for c in FLAGS])
 
 
-def compact_changes(changes: DataFrame) -> DataFrame:
+def compact_changes(changes: DataFrame, *also: str) -> DataFrame:
     """The fewest changes that fold to the same status: one per column set.
 
+    With further columns ``also``, which are kept, for each of their values apart.
+
     A device of which nothing is known yet keeps one change that sets nothing.
     """
-    folded = latest_changes(changes)
+    folded = latest_changes(changes, *also)
     unknown = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in FLAGS])
     one = [
         F.struct(
@@ -76,8 +79,8 @@ def compact_changes(changes: DataFrame) -> DataFrame:
         )
         for kept in FLAGS
     ]
-    spread = folded.select("device_id", F.inline(F.array(*one)))
-    return as_changes(spread.where("set"))
+    spread = folded.select("device_id", *also, F.inline(F.array(*one)))
+    return spread.where("set").select(*_change_columns(spread.columns), *also)
 
 
 EFFICIENCIES = {"delta": efficiency_delta, "rolling": efficiency_rolling}
@@ -91,7 +94,7 @@ def status_changes(readings: DataFrame, dense_ms: int | None = None, efficiency:
     return union_changes(
         door_alerts(rising_pairs(readings, dense_ms=dense_ms)),
         defrost_events(readings),
-        efficiency_changes(EFFICIENCIES[efficiency](work_windows(readings))),
+        efficiency_changes(EFFICIENCIES[efficiency](work_windows(readings, keep_bucket=True))),
     )
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from frostline.operators.previous import BUCKET, bucket_of
+from frostline.operators.previous import BUCKET, bucket_of, dealt
 from frostline.schema import SLIDE_MS, WINDOW_MS
 
 # Fixed value: energy is summed in this type, so that order cannot matter. It
@@ -21,6 +21,7 @@ def work_windows(
     window_ms: int = WINDOW_MS,
     slide_ms: int = SLIDE_MS,
     bucket_slides: int = BUCKET_SLIDES,
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Windows [end - window, end) that hold a reading, with their energy sum.
 
@@ -34,7 +35,9 @@ def work_windows(
 
     The ends of windows are cut into buckets of time, and a pane goes to each
     bucket that it reaches. So a task holds one device's panes of a bucket and
-    of one window before it, however long the device's history is.
+    of one window before it, however long the device's history is. With
+    ``keep_bucket`` windows of whole slides name their bucket, by which they lie
+    together, so that what goes on by it needs no further shuffle.
     """
     if window_ms % slide_ms:
         return work_windows_expanded(readings, window_ms, slide_ms).select(*WINDOW_COLUMNS)
@@ -43,18 +46,21 @@ def work_windows(
     so_far = by_device.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     stretches = changes.select(
         "device_id",
+        BUCKET,
         "at",
         F.lead("at").over(by_device).alias("until"),
         F.sum("panes").over(so_far).alias("panes"),
         F.sum("kw").over(so_far).alias("kw"),
         F.last("first", ignorenulls=True).over(so_far).alias("first"),
     ).where((F.col("panes") > 0) & (F.col("until") > F.col("at")))
+    kept = [BUCKET] if keep_bucket else []
     return stretches.select(
         "device_id",
+        *kept,
         F.explode(F.sequence("at", F.col("until") - 1)).alias("end"),
         F.col("first.temp").alias("temp"),
         F.col("kw").cast("double").alias("work"),
-    ).select("device_id", (F.col("end") * slide_ms).alias("window_end_ms"), "temp", "work")
+    ).select("device_id", (F.col("end") * slide_ms).alias("window_end_ms"), "temp", "work", *kept)
 
 
 def _panes(readings: DataFrame, slide_ms: int) -> DataFrame:
@@ -80,7 +86,7 @@ def _pane_changes(panes: DataFrame, reach: int, bucket_slides: int) -> DataFrame
     """
     opens, closes = F.col("pane") + 1, F.col("pane") + 1 + reach
     buckets = F.sequence(bucket_of(opens, bucket_slides), bucket_of(closes - 1, bucket_slides))
-    placed = panes.withColumn(BUCKET, F.explode(buckets))
+    placed = dealt(panes.withColumn(BUCKET, F.explode(buckets)), "device_id", BUCKET)
     by_device = Window.partitionBy("device_id", BUCKET).orderBy("pane")
     linked = placed.select(
         "device_id",

@@ -258,3 +258,24 @@ def test_latency_quantiles_are_exact(spark, bucket_ms):
     want = [*np.quantile(delays, [0.5, 0.95, 0.99]), sum(delays) / 333]
     assert [got[c] for c in ("p50_ms", "p95_ms", "p99_ms", "mean_ms")] == pytest.approx(want, rel=1e-12)
     assert latency_summary(frame.where("false"), bucket_ms).first()["readings"] is None
+
+
+def test_panes_and_windows_stay_in_as_many_partitions_as_asked_for(spark):
+    """Joined by the bytes they are shuffled in, they made tasks of gigabytes."""
+    r = readings(spark, [(f"d{n % 9}", T0 + n * 700, n % 5, 1) for n in range(400)])
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert work_windows(r).rdd.getNumPartitions() == asked
+    assert efficiency_delta(work_windows(r)).rdd.getNumPartitions() == asked
+    assert efficiency_rolling(work_windows(r)).rdd.getNumPartitions() == asked
+
+
+@pytest.mark.parametrize("bucket_slides", [7, 600])
+def test_windows_that_name_their_bucket_are_not_shuffled_again(spark, bucket_slides):
+    r = readings(spark, [(f"d{n % 3}", T0 + n * n * 90, n % 5, 1 + n % 3) for n in range(150)])
+    kept = efficiency_delta(work_windows(r, bucket_slides=bucket_slides, keep_bucket=True))
+    columns = ["device_id", "window_end_ms", "efficiency"]
+    plain = efficiency_delta(work_windows(r, bucket_slides=bucket_slides))
+    assert tuples(kept.fillna(-1.5e9), *columns) == tuples(plain.fillna(-1.5e9), *columns)
+    dealt = "REPARTITION_BY_NUM"
+    assert plain._jdf.queryExecution().executedPlan().toString().count(dealt) == 3
+    assert kept._jdf.queryExecution().executedPlan().toString().count(dealt) == 2  # panes, for lasts and for windows
