@@ -20,7 +20,7 @@ from frostline.operators.latency import (
 )
 from frostline.operators.order import backward_counts, backward_readings
 from frostline.operators.pattern import door_alerts, door_severity, rising_pairs
-from frostline.operators.status import status_changes, status_table
+from frostline.operators.status import compact_changes, status_changes, status_table
 from frostline.operators.timeline import (
     latest_per_device,
     newest_first,
@@ -170,15 +170,22 @@ def _timeline_stored(spark, sf_dir):
 def _status_stored(spark, sf_dir):
     """Stored in three batches, with a compaction after each of the first two."""
     path = scratch_dir(spark, "status")
-    changes = status_changes(read_readings(spark, sf_dir))
-    for batch in range(3):
-        third = changes.where(F.pmod(F.col("time_ms"), F.lit(3)) == batch)
+    for batch, third in enumerate(_changes_in_thirds(spark, sf_dir)):
         write_changes(third, path, "all", batch)
         if batch < 2:
             compact_status(spark, path)
     return read_status(spark, path)
 
 
+def _changes_in_thirds(spark, sf_dir) -> list[DataFrame]:
+    """The change log as three batches by time, each folded; all are made in one go and stored."""
+    changes = status_changes(read_readings(spark, sf_dir))
+    third = F.pmod(F.col("time_ms"), F.lit(3)).alias("third")
+    path = scratch_dir(spark, "thirds")
+    compact_changes(changes.select("*", third).where("third is not null"), "third").write.parquet(path)
+    return [spark.read.parquet(path).where(F.col("third") == batch).drop("third") for batch in range(3)]
+
+
 def _millis(view: DataFrame) -> DataFrame:
     return view.withColumn("time_stamp", F.unix_millis("time_stamp"))
 
@@ -352,9 +359,7 @@ def _stream_clustered(spark, sf_dir):
 def _stream_status_state(spark, sf_dir):
     """The change log, written in three batches, kept as state and read from there."""
     folder = scratch_dir(spark, "status-state")
-    changes = status_changes(read_readings(spark, sf_dir))
-    for batch in range(3):
-        third = changes.where(F.pmod(F.col("time_ms"), F.lit(3)) == batch)
+    for batch, third in enumerate(_changes_in_thirds(spark, sf_dir)):
         write_changes(third, f"{folder}/{shared.STATUS}", "all", batch)
     status.keep_status(status.changes_stream(stream_session(spark), folder), folder, available_now=True).awaitTermination()
     return status.read_status_state(spark, folder)

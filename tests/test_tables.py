@@ -4,9 +4,11 @@ from datetime import datetime
 from helpers import readings, tuples
 from pyspark.sql import functions as F
 
-from frostline.operators.status import fold_status
+import __spark_entry__ as entry
+from frostline.operators.status import compact_changes, fold_status, status_changes
 from frostline.session import scratch_dir
 from frostline.sources import tables
+from frostline.sources.events import read_readings
 
 KIND = "device_id string, door_open boolean, defrosted boolean, efficiency double, time_ms long, seq long"
 
@@ -69,3 +71,15 @@ def test_catalog_table_without_a_time_of_writing(spark):
     assert tuples(spark.table("timeline_saved"), "time_ms", "temp") == [(1, 2.0)]
     assert tables.drop_expired(spark, "timeline_saved", datetime(2100, 1, 1)) != []
     assert spark.table("timeline_saved").count() == 0
+
+
+def test_thirds_of_the_change_log_are_worked_out_once(spark, small):
+    thirds = entry._changes_in_thirds(spark, small)
+    for third in thirds:
+        plan = third._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Exchange" not in plan
+    changes = status_changes(read_readings(spark, small))
+    for batch, third in enumerate(thirds):
+        want = compact_changes(changes.where(F.pmod("time_ms", F.lit(3)) == batch))
+        assert third.columns == want.columns
+        assert sorted(map(repr, third.collect())) == sorted(map(repr, want.collect()))
