@@ -19,8 +19,10 @@ from frostline.streaming.run import append_files, append_shared, run_streams, up
 END_DEVICE = "end of stream"
 END_TIME = datetime(2200, 1, 1, tzinfo=timezone.utc)
 
-# Micro-batches hold about so many readings, but there are always a few.
+# Micro-batches hold about so many readings, or so many for each shuffle partition, as
+# every one opens and commits the state of all of these; but there are always a few.
 BATCH_ROWS = 1_000_000
+PARTITION_ROWS = 25_000
 LEAST_BATCHES = 4
 # Files of a micro-batch hold about so many, so that several tasks write and read it.
 FILE_ROWS = 250_000
@@ -34,6 +36,11 @@ def end_marker(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(row, READING_SCHEMA)
 
 
+def batches_of(rows: int, partitions: int) -> int:
+    """How many micro-batches so many readings are cut into."""
+    return max(LEAST_BATCHES, -(-rows // max(BATCH_ROWS, PARTITION_ROWS * partitions)))
+
+
 def write_slices(readings: DataFrame, path: str, late: Column | None = None, by: str = "time_ms") -> int:
     """Readings as some files for each slice of time, in order, then the end marker.
 
@@ -47,7 +54,7 @@ def write_slices(readings: DataFrame, path: str, late: Column | None = None, by:
     span = bucket_of(F.col(by), COUNTED)
     counts = readings.groupBy(span.alias("span_")).agg(F.count("*").alias("n"))
     rows = counts.agg(F.sum("n")).first()[0] or 0
-    slices = max(LEAST_BATCHES, -(-rows // BATCH_ROWS))
+    slices = batches_of(rows, int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     files = max(1, -(-rows // (slices * FILE_ROWS)))
     if rows:
         # A row for each span of time, whatever the number of readings.

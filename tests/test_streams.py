@@ -138,3 +138,8 @@ def test_the_session_keeps_the_callers_partitions(spark, partitions):
         assert stream_session(spark).conf.get("spark.sql.shuffle.partitions") == partitions
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_micro_batches_grow_with_the_partitions_of_state(spark):
+    assert [bounded.batches_of(rows, 200) for rows in (0, 6_000_000, 36_000_000)] == [4, 4, 8]
+    assert bounded.batches_of(36_000_000, 12) == 36
