@@ -179,8 +179,8 @@ def _status_stored(spark, sf_dir):
 
 def _changes_in_thirds(spark, sf_dir) -> list[DataFrame]:
     """The change log as three batches by time, each folded; all are made in one go and stored."""
-    changes = status_changes(read_readings(spark, sf_dir))
     third = F.pmod(F.col("time_ms"), F.lit(3)).alias("third")
+    changes = status_changes(read_readings(spark, sf_dir), folded_by=[third])
     path = scratch_dir(spark, "thirds")
     compact_changes(changes.select("*", third).where("third is not null"), "third").write.parquet(path)
     return [spark.read.parquet(path).where(F.col("third") == batch).drop("third") for batch in range(3)]

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frostline.functions import safe_divide
-from frostline.operators.previous import BUCKET, bucket_of, dealt
+from frostline.operators.previous import BEFORE, BUCKET, bucket_of, dealt
 from frostline.schema import EFFICIENCY_SCALE
 
 WINDOWS_BUCKET_MS = 600_000
@@ -20,8 +20,11 @@ def efficiency_delta(windows: DataFrame, bucket_ms: int = WINDOWS_BUCKET_MS) ->
     Windows are put in order within a bucket of time. Before the first one of a
     bucket comes the last one of the device's bucket before, so what is ordered
     by device alone is one row for each of its buckets. Windows that name their
-    bucket already, as ``work_windows`` can, stay where they are.
+    bucket already, as ``work_windows`` can, stay where they are, and are not
+    sorted either if they name the temperature before.
     """
+    if BEFORE in windows.columns:
+        return _delta(_linked(windows))
     keys = ["device_id", BUCKET]
     placed = windows
     if BUCKET not in windows.columns:
@@ -41,7 +44,30 @@ def efficiency_delta(windows: DataFrame, bucket_ms: int = WINDOWS_BUCKET_MS) ->
         F.lag("temp").over(inside).alias("before"),
     ).join(carried, keys)
     before = F.when(F.col("nth") == 1, F.col("carried")).otherwise(F.col("before"))
-    delta = safe_divide(before - F.col("temp"), F.col("work")) * F.lit(EFFICIENCY_SCALE)
+    return _delta(linked.withColumn("before", before))
+
+
+def _linked(windows: DataFrame) -> DataFrame:
+    """Windows with the temperature before, also those that are the first of their bucket.
+
+    The first and the last window of each bucket are found by a hash aggregate of
+    plain numbers, as a device has no two windows with the same end.
+    """
+    known = windows.where(F.col("device_id").isNotNull())
+    edges = known.groupBy("device_id", BUCKET).agg(
+        F.max_by("temp", "window_end_ms").alias("last"),
+        *[F.min_by(c, "window_end_ms").alias(c) for c in ("temp", "work")],
+        F.min("window_end_ms").alias("window_end_ms"),
+    )
+    by_bucket = Window.partitionBy("device_id").orderBy(BUCKET)
+    columns = ["device_id", "window_end_ms", "temp", "work"]
+    firsts = edges.select(*columns, F.lag("last").over(by_bucket).alias("before"))
+    rest = known.where(F.col(BEFORE).isNotNull()).select(*columns, F.col(f"{BEFORE}.temp").alias("before"))
+    return rest.unionByName(firsts)
+
+
+def _delta(linked: DataFrame) -> DataFrame:
+    delta = safe_divide(F.col("before") - F.col("temp"), F.col("work")) * F.lit(EFFICIENCY_SCALE)
     return linked.select("device_id", "window_end_ms", delta.alias("efficiency"))
 
 

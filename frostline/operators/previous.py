@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 # Stateful processors lose names that start with an underscore.
 BUCKET = "bucket_"
 CARRIED = "carried_"
+BEFORE = "before_"
 BUCKET_MS = 60_000
 
 

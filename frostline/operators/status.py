@@ -1,5 +1,6 @@
 """The current status of each device, merged from three feeds."""
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -86,17 +87,40 @@ def compact_changes(changes: DataFrame, *also: str) -> DataFrame:
 EFFICIENCIES = {"delta": efficiency_delta, "rolling": efficiency_rolling}
 
 
-def status_changes(readings: DataFrame, dense_ms: int | None = None, efficiency: str = "delta") -> DataFrame:
+def status_changes(
+    readings: DataFrame,
+    dense_ms: int | None = None,
+    efficiency: str = "delta",
+    folded_by: Sequence[Column] | None = None,
+) -> DataFrame:
     """All three feeds of a table of readings (U2). Each scans what it needs.
 
-    ``efficiency`` is ``delta`` (A4) or ``rolling`` (A3).
+    ``efficiency`` is ``delta`` (A4) or ``rolling`` (A3). With ``folded_by``, columns
+    made from those of a change, efficiency is the last one of each device and value of
+    these, so a fold by device and the same columns comes out alike.
     """
+    windows = efficiency_changes(EFFICIENCIES[efficiency](work_windows(readings, keep_bucket=True)))
     return union_changes(
         door_alerts(rising_pairs(readings, dense_ms=dense_ms)),
         defrost_events(readings),
-        efficiency_changes(EFFICIENCIES[efficiency](work_windows(readings, keep_bucket=True))),
+        windows if folded_by is None else latest_efficiency(windows, *folded_by),
+    )
+
+
+def latest_efficiency(changes: DataFrame, *by: Column) -> DataFrame:
+    """A feed of efficiency, folded to the last value set for each device and value of ``by``.
+
+    There are many windows to a reading. A fold of structs sorts them all; with one
+    change for each end of a window, plain numbers do, and a hash aggregate holds a
+    row for each group. Where no value is set, a change that sets nothing stays.
+    """
+    is_set = "FILTER (WHERE efficiency IS NOT NULL)"
+    return changes.groupBy("device_id", *by).agg(
+        F.expr(f"max_by(efficiency, time_ms) {is_set}").alias("efficiency"),
+        F.expr(f"coalesce(max(time_ms) {is_set}, max(time_ms))").alias("time_ms"),
+        F.max("seq").alias("seq"),
     )
 
 
 def status_table(readings: DataFrame, dense_ms: int | None = None, efficiency: str = "delta") -> DataFrame:
-    return fold_status(status_changes(readings, dense_ms, efficiency))
+    return fold_status(status_changes(readings, dense_ms, efficiency, folded_by=()))

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from frostline.operators.previous import BUCKET, bucket_of, dealt
+from frostline.operators.previous import BEFORE, BUCKET, bucket_of, dealt
 from frostline.schema import SLIDE_MS, WINDOW_MS
 
 # Fixed value: energy is summed in this type, so that order cannot matter. It
@@ -37,30 +37,26 @@ def work_windows(
     bucket that it reaches. So a task holds one device's panes of a bucket and
     of one window before it, however long the device's history is. With
     ``keep_bucket`` windows of whole slides name their bucket, by which they lie
-    together, so that what goes on by it needs no further shuffle.
+    together, and the temperature of the window before in that bucket (NULL for
+    its first one), so that what goes on by it needs no further shuffle, and
+    nothing has to sort windows, of which a pane makes many.
     """
     if window_ms % slide_ms:
         return work_windows_expanded(readings, window_ms, slide_ms).select(*WINDOW_COLUMNS)
-    changes = _pane_changes(_panes(readings, slide_ms), window_ms // slide_ms, bucket_slides)
-    by_device = Window.partitionBy("device_id", BUCKET).orderBy("at")
-    so_far = by_device.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    stretches = changes.select(
+    stretches = _stretches(_panes(readings, slide_ms), window_ms // slide_ms, bucket_slides)
+    kept = []
+    if keep_bucket:
+        by_device = Window.partitionBy("device_id", BUCKET).orderBy("at")
+        stretches = stretches.withColumn("before", F.lag("first").over(by_device))
+        before = F.when(F.col("end") == F.col("start"), F.col("before")).otherwise(F.col("first"))
+        kept = [BUCKET, before.alias(BEFORE)]
+    return stretches.select("*", F.explode(F.sequence("start", F.col("until") - 1)).alias("end")).select(
         "device_id",
-        BUCKET,
-        "at",
-        F.lead("at").over(by_device).alias("until"),
-        F.sum("panes").over(so_far).alias("panes"),
-        F.sum("kw").over(so_far).alias("kw"),
-        F.last("first", ignorenulls=True).over(so_far).alias("first"),
-    ).where((F.col("panes") > 0) & (F.col("until") > F.col("at")))
-    kept = [BUCKET] if keep_bucket else []
-    return stretches.select(
-        "device_id",
-        *kept,
-        F.explode(F.sequence("at", F.col("until") - 1)).alias("end"),
+        (F.col("end") * slide_ms).alias("window_end_ms"),
         F.col("first.temp").alias("temp"),
         F.col("kw").cast("double").alias("work"),
-    ).select("device_id", (F.col("end") * slide_ms).alias("window_end_ms"), "temp", "work", *kept)
+        *kept,
+    )
 
 
 def _panes(readings: DataFrame, slide_ms: int) -> DataFrame:
@@ -76,37 +72,36 @@ def _panes(readings: DataFrame, slide_ms: int) -> DataFrame:
     )
 
 
-def _pane_changes(panes: DataFrame, reach: int, bucket_slides: int) -> DataFrame:
-    """What changes at which window end of a bucket, counted in slides.
+def _stretches(panes: DataFrame, reach: int, bucket_slides: int) -> DataFrame:
+    """Window ends of a bucket, from ``start`` to before ``until``, whose windows are alike.
 
-    ``first`` is set where the first pane of the window changes: at the first
-    pane of a bucket, and whenever a pane leaves and the next one takes over.
-    What began before the bucket comes with its start, and what ends after it
-    goes with its end.
+    Ends are counted in slides. Changes are in order of ``at``, which lies before
+    the bucket for what began before it and after it for what ends there; what a
+    stretch has outside is cut off. They are sorted once: ``first``, of the oldest
+    pane of a window, is looked up among the panes that came in within its reach.
     """
     opens, closes = F.col("pane") + 1, F.col("pane") + 1 + reach
     buckets = F.sequence(bucket_of(opens, bucket_slides), bucket_of(closes - 1, bucket_slides))
     placed = dealt(panes.withColumn(BUCKET, F.explode(buckets)), "device_id", BUCKET)
-    by_device = Window.partitionBy("device_id", BUCKET).orderBy("pane")
-    linked = placed.select(
-        "device_id",
-        BUCKET,
-        "pane",
-        "kw",
-        F.when(F.lag("pane").over(by_device).isNull(), F.col("first")).alias("opening"),
-        F.lead("first").over(by_device).alias("next"),
-    )
-    start = F.col(BUCKET) * bucket_slides
-    comes = F.struct(
-        F.greatest(opens, start).alias("at"), "kw", F.lit(1).alias("panes"), F.col("opening").alias("first")
-    )
+    comes = F.struct(opens.alias("at"), "kw", F.lit(1).alias("panes"), "first")
     goes = F.struct(
-        F.least(closes, start + bucket_slides).alias("at"),
-        (-F.col("kw")).alias("kw"),
-        F.lit(-1).alias("panes"),
-        F.col("next").alias("first"),
+        closes.alias("at"), (-F.col("kw")).alias("kw"), F.lit(-1).alias("panes"), F.lit(None).alias("first")
     )
-    return linked.select("device_id", BUCKET, F.inline(F.array(comes, goes)))
+    changes = placed.select("device_id", BUCKET, F.inline(F.array(comes, goes)))
+    by_device = Window.partitionBy("device_id", BUCKET).orderBy("at")
+    so_far = by_device.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    covered = by_device.rangeBetween(1 - reach, Window.currentRow)
+    opening = F.col(BUCKET) * bucket_slides
+    return changes.select(
+        "device_id",
+        BUCKET,
+        "at",
+        F.greatest("at", opening).alias("start"),
+        F.least(F.lead("at").over(by_device), opening + bucket_slides).alias("until"),
+        F.sum("panes").over(so_far).alias("panes"),
+        F.sum("kw").over(so_far).alias("kw"),
+        F.first("first", ignorenulls=True).over(covered).alias("first"),
+    ).where((F.col("panes") > 0) & (F.col("until") > F.col("start")))
 
 
 def work_windows_expanded(

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
@@ -12,7 +13,7 @@ from frostline.functions import significant_digits, truncated
 from frostline.operators.defrost import defrost_events, defrosted_devices
 from frostline.operators.efficiency import efficiency_delta, efficiency_rolling
 from frostline.operators.pattern import door_alerts, door_severity, rising_pairs
-from frostline.operators.status import fold_status, status_changes, status_table
+from frostline.operators.status import fold_status, latest_efficiency, status_changes, status_table
 from frostline.operators.timeline import newest_first, retained, upsert_timeline
 from frostline.operators.work import work_windows, work_windows_expanded
 from frostline.plans import views
@@ -279,3 +280,62 @@ def test_windows_that_name_their_bucket_are_not_shuffled_again(spark, bucket_sli
     dealt = "REPARTITION_BY_NUM"
     assert plain._jdf.queryExecution().executedPlan().toString().count(dealt) == 3
     assert kept._jdf.queryExecution().executedPlan().toString().count(dealt) == 2  # panes, for lasts and for windows
+
+
+def sorts_of_windows(frame):
+    """Sorts in a plan, outside of an exchange, of rows that windows have been expanded into."""
+    found, expanded, above = 0, 0, []
+    for line in frame._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = next((n for n, c in enumerate(line) if c.isalpha()), 0)
+        above = [(d, node) for d, node in above if d < depth]
+        node = line[depth:]
+        if re.match(r"Generate explode\(sequence\(.*\[end#\d+L\]", node):
+            nodes = [n for _, n in above]
+            shuffled = max((i for i, n in enumerate(nodes) if n.startswith("Exchange")), default=-1)
+            expanded += 1
+            found += sum(n.startswith("Sort") for n in nodes[shuffled + 1 :])
+        above.append((depth, node))
+    assert expanded
+    return found
+
+
+@pytest.mark.parametrize("view", [views.all_status, lambda s: views.json_pages(views.all_status(s), "status", 9)])
+def test_the_status_does_not_sort_windows(spark, view):
+    """A pane makes up to 30 of them; sorted, they were most of what a task held."""
+    r = readings(spark, [(f"d{n % 3}", T0 + n * 700, n % 5, 1) for n in range(40)])
+    assert sorts_of_windows(view(status_table(r))) == 0
+
+
+@pytest.mark.parametrize("bucket_slides", [1, 2, 30, 31, 600])
+def test_kept_windows_name_the_temperature_before(spark, bucket_slides):
+    """Equal to the delta in order, over gaps, unknown temperatures and buckets."""
+    rows = [(f"d{n % 2}", T0 + n * n * 700, n % 4, n % 3) for n in range(40)]
+    r = readings(spark, rows).withColumn("temp", F.when(F.col("temp") < 3, F.col("temp")))
+    kept = efficiency_delta(work_windows(r, bucket_slides=bucket_slides, keep_bucket=True))
+    before, want = {}, []
+    for device, end, temp, work in sorted(map(tuple, work_windows_expanded(r).drop("window_end").collect())):
+        last = before.get(device)
+        known = last is not None and temp is not None and work
+        want.append((device, end, (last - temp) / work * 100 if known else None))
+        before[device] = temp
+    assert sorted(map(tuple, kept.collect()), key=lambda t: t[:2]) == want
+
+
+def test_efficiency_folded_first_gives_the_same_status(spark):
+    """Also of a device whose efficiency is never known, by device and by a further column."""
+    rows = [(f"d{n % 4}", T0 + n * n * 90, n % 5 - 6, 0 if n % 4 == 3 else 1 + n % 3) for n in range(60)]
+    r = readings(spark, [*rows, ("lone", T0, -5, 0)])
+    columns = ["device_id", "door_open", "defrosted", "efficiency"]
+    whole = [tuple(x) for x in fold_status(status_changes(r)).select(*columns).collect()]
+    folded = [tuple(x) for x in status_table(r).select(*columns).collect()]
+    assert sorted(folded, key=str) == sorted(whole, key=str)
+    assert ("lone", None, None, None) in folded
+
+    third = F.pmod(F.col("time_ms"), F.lit(3)).alias("third")
+    changes = spark.createDataFrame(
+        [("a", 3, 0, 1.0), ("a", 6, 0, 2.0), ("a", 9, 0, None), ("a", 4, 0, None), ("b", 5, 0, 7.0)],
+        "device_id string, time_ms bigint, seq bigint, efficiency double",
+    )
+    by_third = latest_efficiency(changes, third).orderBy("device_id", "third")
+    got = [tuple(x) for x in by_third.select("device_id", "third", "efficiency", "time_ms").collect()]
+    assert got == [("a", 0, 2.0, 6), ("a", 1, None, 4), ("b", 2, 7.0, 5)]
