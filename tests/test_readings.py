@@ -299,7 +299,11 @@ def sorts_of_windows(frame):
     return found
 
 
-@pytest.mark.parametrize("view", [views.all_status, lambda s: views.json_pages(views.all_status(s), "status", 9)])
+@pytest.mark.parametrize(
+    "view",
+    [views.all_status, lambda s: views.json_pages(views.all_status(s), "status", 9),
+     lambda s: views.all_status(s.withColumn("device_id", F.concat(F.lit('"'), "device_id", F.lit('"'))))],
+)
 def test_the_status_does_not_sort_windows(spark, view):
     """A pane makes up to 30 of them; sorted, they were most of what a task held."""
     r = readings(spark, [(f"d{n % 3}", T0 + n * 700, n % 5, 1) for n in range(40)])
