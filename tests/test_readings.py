@@ -9,6 +9,7 @@ import pytest
 from helpers import readings, tuples
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from frostline.functions import significant_digits, truncated
 from frostline.operators.defrost import defrost_events, defrosted_devices
 from frostline.operators.efficiency import efficiency_delta, efficiency_rolling
@@ -310,6 +311,18 @@ def test_the_status_does_not_sort_windows(spark, view):
     assert sorts_of_windows(view(status_table(r))) == 0
 
 
+@pytest.mark.parametrize("name", ["status_pages"])
+def test_registered_views_of_the_status_do_not_sort_windows(spark, tmp_path, name):
+    events = spark.range(40).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id * 7000) AS ts", "id % 3 AS user_id",
+        "'view' AS event_type", "id % 5 + 0.5D AS value", """concat('{"k": ', id % 9, '}') AS props""",
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    view = queries()[name](spark, str(tmp_path))
+    assert sorts_of_windows(view) == 0
+    assert {r["deviceID"] for r in view.collect()} == {"device0", "device1", "device2"}
+
+
 @pytest.mark.parametrize("bucket_slides", [1, 2, 30, 31, 600])
 def test_kept_windows_name_the_temperature_before(spark, bucket_slides):
     """Equal to the delta in order, over gaps, unknown temperatures and buckets."""
