@@ -311,7 +311,7 @@ def test_the_status_does_not_sort_windows(spark, view):
     assert sorts_of_windows(view(status_table(r))) == 0
 
 
-@pytest.mark.parametrize("name", ["status_pages"])
+@pytest.mark.parametrize("name", ["status_pages", "status_quoted"])
 def test_registered_views_of_the_status_do_not_sort_windows(spark, tmp_path, name):
     events = spark.range(40).selectExpr(
         "id AS event_id", "timestamp_seconds(1704067200 + id * 7000) AS ts", "id % 3 AS user_id",
