@@ -11,7 +11,7 @@ from frostline.operators.pattern import door_alerts, rising_pairs
 from frostline.operators.status import fold_status
 from frostline.operators.work import work_windows
 from frostline.schema import READING_SCHEMA
-from frostline.session import scratch_dir, stream_session
+from frostline.session import ROCKSDB, STATE_MB, scratch_dir, stream_session, write_buffer_mb
 from frostline.sources.replay import replay_stream
 from frostline.sources.tables import read_changes, write_changes
 from frostline.streaming import bounded, feeds
@@ -143,3 +143,51 @@ def test_the_session_keeps_the_callers_partitions(spark, partitions):
 def test_micro_batches_grow_with_the_partitions_of_state(spark):
     assert [bounded.batches_of(rows, 200) for rows in (0, 6_000_000, 36_000_000)] == [4, 4, 8]
     assert bounded.batches_of(36_000_000, 12) == 36
+
+
+@pytest.mark.parametrize("partitions", ["2", "200"])
+def test_state_has_one_bound_whatever_the_partitions(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        conf = stream_session(spark).conf
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert conf.get(f"{ROCKSDB}.boundedMemoryUsage", None) == "true"
+    assert conf.get(f"{ROCKSDB}.maxMemoryUsageMB", None) == str(STATE_MB)
+    assert conf.get(f"{ROCKSDB}.writeBufferSizeMB", None) == str(write_buffer_mb(int(partitions)))
+    # The pieces in which stores take memory fit half of the bound, though all are in one executor.
+    assert 4 * int(partitions) * write_buffer_mb(int(partitions)) / 8 <= STATE_MB / 2
+
+
+def test_state_beyond_its_memory_gives_the_same_windows(spark):
+    """More than a store of 1 MB keeps in memory, in one partition."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rows = spark.range(24_000).select(
+        F.concat(F.lit("device"), F.col("id") % 3000).alias("device_id"),
+        (F.lit(T0) + F.col("id") * 2).alias("time_ms"),
+        F.timestamp_millis(F.lit(T0) + F.col("id") * 2).alias("ts"),
+        F.col("id").alias("seq"),
+        F.lit("temp").alias("sensor_name_1"),
+        (F.col("id") % 17).cast("double").alias("temp"),
+        F.lit("kws").alias("sensor_name_2"),
+        F.lit(0.5).alias("kw"),
+    )
+    folder = scratch_dir(spark, "beyond")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        session = stream_session(spark)
+        session.conf.set(f"{ROCKSDB}.writeBufferSizeMB", "1")
+        bounded.write_slices(rows, f"{folder}/readings")
+        out = feeds.windows_stream(replay_stream(session, f"{folder}/readings", READING_SCHEMA))
+        query = append_files(out, folder, "out", available_now=True)
+        query.awaitTermination()
+        got = spark.read.schema(out.schema).parquet(f"{folder}/out").where(F.col("device_id") != bounded.END_DEVICE)
+        columns = ["device_id", "window_end_ms", "temp", "work"]
+        want = work_windows(rows).select(*columns)
+        assert got.count() == want.count()
+        assert got.select(*columns).exceptAll(want).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    held = [o["customMetrics"].get("rocksdbTotalBytesWrittenByFlush", 0) for p in query.recentProgress for o in p["stateOperators"]]
+    assert max(held) > 0  # some of it has left memory
